@@ -170,7 +170,7 @@ def _reassemble(finish):
                 place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start[w] - ends + m, m)
                 docs.append(doc)
                 out.append(finish(flat[place]))
-        return pa.table([pa.array(docs, pa.int64()), *(pa.array(x) for x in zip(*out, strict=True))], names=["doc_id", *finish.names])
+        return pa.table([pa.array(docs, pa.int64()), *(pa.array(x, t) for x, t in zip(zip(*out, strict=True), finish.types, strict=True))], names=["doc_id", *finish.names])
 
     return run
 
@@ -179,6 +179,7 @@ class _Digests:
     """Of a document: how many ids, the digest of their decimals, and that of the bytes they decode to."""
 
     names = ("n_tokens", "ids_sha256", "decoded_sha256")
+    types = (pa.int64(), pa.string(), pa.string())
 
     def __init__(self, v: Vocabulary):
         self.v = v
@@ -196,6 +197,7 @@ class _Ids:
     """Of a document: its ids and the bytes they decode to."""
 
     names = ("ids", "decoded")
+    types = (pa.list_(pa.int32()), pa.binary())
 
     def __init__(self, v: Vocabulary):
         self.v = v

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .runtime import materialize
+from .runtime import materialize, without
 
 
 def misra_gries(counters: int):
@@ -86,5 +86,5 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     Only the ids of dropped rows are joined, so clean rows pass untouched.
     Ids must be unique; rows with a null id always stay.
     """
-    gone = exact_duplicates(docs, id_col, text_col, counters=counters).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    gone = exact_duplicates(docs, id_col, text_col, counters=counters).filter(~F.col("kept")).select("doc_id")
+    return without(docs, id_col, gone)

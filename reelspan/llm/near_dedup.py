@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package
 from .components import components
-from .runtime import materialize
+from .runtime import materialize, without
 from .textkit import LOWER, U64, chunks, minhash, mix, shingles, universal, words
 
 #: MinHash samples in a sketch; the first BANDS * ROWS also make the band keys.
@@ -175,24 +175,28 @@ def near_duplicates(docs: DataFrame, numerator: int = 4, denominator: int = 5, k
         .filter(_differing_bits("p", "q") <= most).select("a", "b")
     )
     tried = materialize(_confirm(near, texts, numerator, denominator, k, lower), "tried")
-    each = 1
+    parts = materialize(components(tried.filter("linked").select("a", "b")), "components")
+    each = 64
     while True:
-        linked = tried.filter("linked").select("a", "b").distinct()
-        parts = materialize(components(linked), "components")
         labelled = members.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
         mixed = labelled.groupBy("key").agg(F.min("component").alias("p"), F.max("component").alias("q"), F.count("*").alias("n")).filter("p < q").select("key", "n")
-        mixed = materialize(mixed, "mixed")
         open_ = labelled.select("key", "id", "component").join(mixed, "key").join(sketches, "id").withColumn("parts", F.ceil(F.col("n") / PROBES).cast("int"))
+        open_ = materialize(open_, "mixed")
         # a large bucket's probes are dealt out to several tasks, each with the whole bucket beside them
         probes = open_.select("key", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), "id", "component", "sketch", F.lit(True).alias("probe"))
         bases = open_.select("key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "id", "component", "sketch", F.lit(False).alias("probe"))
         offered = materialize(probes.unionByName(bases).groupBy("key", "part").applyInArrow(_between(most, each), "a long, b long, more boolean"), "offered")
-        fresh = materialize(offered.filter("a IS NOT NULL").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), "fresh")
-        more = offered.filter("more").limit(1).count()
-        if not more and not fresh.limit(1).count():
+        fresh = offered.filter("a IS NOT NULL").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+        newly = materialize(_confirm(fresh, texts, numerator, denominator, k, lower), "tried")
+        more = not offered.filter("more").isEmpty()
+        if not newly.filter("linked").isEmpty():
+            tried = tried.unionByName(newly)
+            parts = materialize(components(tried.filter("linked").select("a", "b")), "components")
+        elif more:
+            tried = tried.unionByName(newly)
+            each *= 16
+        else:
             break
-        tried = materialize(tried.unionByName(_confirm(fresh, texts, numerator, denominator, k, lower)), "tried")
-        each *= 16
 
     by_class = classes.join(parts, F.col("rep") == F.col("id"), "left").select(F.col("digest").alias("_digest"), F.coalesce("component", "rep").alias("_component"))
     whole = found.join(by_class, (F.col("digest") == F.col("_digest")) & (F.col("n_shingles") > 0), "left")
@@ -202,5 +206,5 @@ def near_duplicates(docs: DataFrame, numerator: int = 4, denominator: int = 5, k
 
 def drop_near_duplicates(docs: DataFrame, numerator: int = 4, denominator: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component; same columns. Ids must be unique."""
-    gone = near_duplicates(docs, numerator, denominator, id_col=id_col, text_col=text_col).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    gone = near_duplicates(docs, numerator, denominator, id_col=id_col, text_col=text_col).filter(~F.col("kept")).select("doc_id")
+    return without(docs, id_col, gone)

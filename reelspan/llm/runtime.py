@@ -9,6 +9,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import ship_package
 
@@ -58,9 +59,26 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Estimates from here on are Catalyst's stand-ins for "unknown" or products of a join's sides.
+UNKNOWN = 1 << 50
+
+
 def input_bytes(df: DataFrame) -> int:
-    """Catalyst's estimate of the bytes that ``df`` reads; works for any store."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    """Catalyst's estimate of the bytes that ``df`` reads, which works for any store;
+    where it has none, the bytes of the text columns, counted."""
+    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if estimate < UNKNOWN:
+        return estimate
+    texts = [F.coalesce(F.sum(F.octet_length(f.name)), F.lit(0)) for f in df.schema if f.dataType.simpleString() == "string"]
+    return int(df.agg(sum(texts, F.lit(0)).alias("n")).first()["n"])
+
+
+def without(docs: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose id is in the one column of ``gone``, whatever the
+    names of its columns."""
+    rows = docs.select(F.struct("*").alias("row"))
+    ids = gone.toDF("gone")
+    return rows.join(ids, F.col(f"row.`{id_col}`") == F.col("gone"), "left_anti").select("row.*")
 
 
 def pieces(df: DataFrame, bytes_each: int, most: int = 1_000_000) -> int:

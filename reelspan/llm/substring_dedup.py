@@ -164,10 +164,10 @@ def _offer_stretches(window: int, shards: int):
                 doc = int(ids[at])
                 if doc != NONE:
                     own = held.setdefault(anchor % shards, {})
-                    low, high = own.get(raw, (doc, doc))
-                    own[raw] = (min(low, doc), max(high, doc))
+                    low, high, _ = own.get(raw, (doc, doc, anchor))
+                    own[raw] = (min(low, doc), max(high, doc), anchor)
         block = table.column("block")[0].as_py() if len(table) else 0
-        return pa.table({"shard": pa.array(list(held), pa.int32()), "block": pa.array([block] * len(held), pa.int32()), "data": pa.array([_dump(list(own), [v[0] for v in own.values()], [v[0] != v[1] for v in own.values()]) for own in held.values()], pa.binary())})
+        return pa.table({"shard": pa.array(list(held), pa.int32()), "block": pa.array([block] * len(held), pa.int32()), "data": pa.array([_dump(list(own), [v[0] for v in own.values()], [v[0] != v[1] for v in own.values()], [v[2] for v in own.values()]) for own in held.values()], pa.binary())})
 
     return run
 
@@ -179,45 +179,62 @@ def _locate_phrases(window: int):
         import ahocorasick
 
         asked = [_load(d) for d in table.column("data")]
-        # stretches of the whole shard, with their least document and whether there are several
+        # stretches of the whole shard by anchor, with their least document and whether there are several
         total: dict[bytes, tuple[int, bool]] = {}
-        for raws, low, several in asked:
-            for raw, doc, many in zip(raws, low, several, strict=True):
+        groups: dict[int, list[bytes]] = {}
+        for raws, low, several, anchor in asked:
+            for raw, doc, many, key in zip(raws, low, several, anchor, strict=True):
                 old = total.get(raw)
-                total[raw] = (doc, many) if old is None else (min(doc, old[0]), many or old[1] or doc != old[0])
+                if old is None:
+                    groups.setdefault(key, []).append(raw)
+                    total[raw] = (doc, many)
+                else:
+                    total[raw] = (min(doc, old[0]), many or old[1] or doc != old[0])
         number: dict[bytes, int] = {}
-        coded = {raw: tuple([number.setdefault(x, len(number)) for x in raw.split()]) for raw in total}
-        # a window is confirmed as a phrase once two documents are seen to have it
-        seen: dict[tuple, int] = {}
+
+        def coded(raw: bytes) -> tuple:
+            return tuple([number.setdefault(x, len(number)) for x in raw.split()])
+
+        # Equal windows have equal anchors, so phrases are confirmed anchor by anchor. Where all
+        # its stretches are the same, that one is a phrase; else each window of two documents is.
         confirmed: dict[tuple, int] = {}
-        for raw, (doc, many) in total.items():
-            ids = coded[raw]
-            for i in range(len(ids) - window + 1):
-                phrase = ids[i : i + window]
-                old = seen.get(phrase)
-                low = doc if old is None else min(old, doc)
-                if old is None or low != old:
-                    seen[phrase] = low
-                if many or (old is not None and old != doc) or phrase in confirmed:
-                    confirmed[phrase] = low
+        streams: dict[bytes, tuple] = {}
+        for raws in groups.values():
+            if len(raws) == 1:
+                doc, many = total[raws[0]]
+                if many:
+                    ids = streams[raws[0]] = coded(raws[0])
+                    confirmed[ids] = doc
+                continue
+            seen: dict[tuple, tuple[int, bool]] = {}
+            for raw in raws:
+                doc, many = total[raw]
+                ids = streams[raw] = coded(raw)
+                for i in range(len(ids) - window + 1):
+                    phrase = ids[i : i + window]
+                    old = seen.get(phrase)
+                    seen[phrase] = (doc, many) if old is None else (min(doc, old[0]), many or old[1] or doc != old[0])
+            confirmed.update((phrase, doc) for phrase, (doc, many) in seen.items() if many)
         found: dict[bytes, np.ndarray] = {}
         if confirmed:
             automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-            least = []
-            for phrase, doc in confirmed.items():
-                automaton.add_word(phrase, len(least))
-                least.append(doc)
+            least, length = list(confirmed.values()), list(map(len, confirmed))
+            for i, phrase in enumerate(confirmed):
+                automaton.add_word(phrase, i)
+            del confirmed
             automaton.make_automaton()
-            for raw, ids in coded.items():
+            for raw, ids in streams.items():
                 own = None
                 for end, which in automaton.iter(ids):
                     if own is None:
                         own = np.full(len(ids) - window + 1, NONE, np.int64)
-                    own[end - window + 1] = least[which]
+                    first = end - length[which] + 1
+                    part = own[first : end - window + 2]
+                    np.minimum(part, least[which], out=part)
                 if own is not None:
                     found[raw] = own
         blocks, out = [], []
-        for block, (raws, _, _) in zip(table.column("block").to_pylist(), asked, strict=True):
+        for block, (raws, *_) in zip(table.column("block").to_pylist(), asked, strict=True):
             if own := {raw: found[raw] for raw in raws if raw in found}:
                 blocks.append(block)
                 out.append(_dump([hash_of(raw) for raw in own], [len(v) for v in own.values()], np.concatenate(list(own.values())).astype("<i8").tobytes()))
@@ -299,6 +316,6 @@ def drop_repeated_passages(docs: DataFrame, window: int = 50, id_col: str = "doc
     """``docs`` with repeated passages taken out of the text; same rows and columns,
     and texts that lose nothing stay as they are. Ids must be unique."""
     found = repeated_passages(docs, window, id_col, text_col).filter("n_removed > 0")
-    changed = found.select(F.col("doc_id").alias("_id"), F.col("kept_text").alias("_kept"))
-    joined = docs.join(changed, docs[id_col] == F.col("_id"), "left")
-    return joined.select(*(F.coalesce("_kept", docs[c]).alias(c) if c == text_col else docs[c] for c in docs.columns))
+    changed = found.select(F.col("doc_id").alias("changed_id"), F.col("kept_text").alias("kept"))
+    joined = docs.select(F.struct("*").alias("row")).join(changed, F.col(f"row.`{id_col}`") == F.col("changed_id"), "left")
+    return joined.select(F.when(F.col("kept").isNotNull(), F.col("row").withField(f"`{text_col}`", F.col("kept"))).otherwise(F.col("row")).alias("row")).select("row.*")

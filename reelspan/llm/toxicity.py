@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
+from .runtime import without
 from .textkit import U64, chunks, mix
 
 #: Groups of terms that name people by the same kind of trait; terms of a group are swapped for one another.
@@ -198,8 +199,8 @@ def fit_on(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, id_col: str
     own = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & ~held_out(id_col))
     # the sample is drawn from the labels before any text is read, and is at most ``rows`` long
     sample = own.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label")).orderBy(F.xxhash64("_id"), "_id", "_label").limit(rows)
-    found = docs.join(F.broadcast(sample), docs[id_col] == F.col("_id")).filter(F.col(text_col).isNotNull())
-    got = found.select("_id", F.col(text_col).alias("_text"), "_label").toLocalIterator()
+    texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text")).filter("_text IS NOT NULL")
+    got = texts.join(F.broadcast(sample), F.col("_doc") == F.col("_id")).select("_id", "_text", "_label").collect()
     got = sorted(((r["_id"], r["_text"], r["_label"]) for r in got), key=lambda r: (str(r[0]), r[2], r[1]))
     return fit([r[1] for r in got], [r[2] for r in got])
 
@@ -224,5 +225,5 @@ def toxicity_scores(docs: DataFrame, classifier: Classifier, id_col: str = "doc_
 
 def drop_toxic(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows whose score is 0.5 or more; same columns. Ids must be unique."""
-    gone = toxicity_scores(docs, classifier, id_col, text_col).filter("predicted = 1").select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    gone = toxicity_scores(docs, classifier, id_col, text_col).filter("predicted = 1").select("doc_id")
+    return without(docs, id_col, gone)

@@ -80,7 +80,7 @@ class ExportConfig:
     trimming: Trimming = field(default_factory=Trimming)
     max_episode_duration_s: float | None = None
     task_description: str = "task"
-    dataset_id: str = "nova/dataset"
+    dataset_id: str = "local/dataset"
 
     def __post_init__(self) -> None:
         _need(self.format in FORMATS, f"format must be one of {', '.join(FORMATS)}")

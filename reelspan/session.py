@@ -9,6 +9,11 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+#: Bytes of an Arrow batch on its way to a Python worker, where the session names none. Both
+#: sides hold several copies of a batch, so it stays far below an executor's memory.
+ARROW_BATCH_BYTES = 8 << 20
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _shipped: dict[str, str] = {}
 
 
@@ -28,7 +33,10 @@ def build_session(app: str = "reelspan", master: str | None = None, **conf: str)
 
 
 def ship_package(spark: SparkSession) -> SparkSession:
-    """Send this package's source to the executors, once for each application."""
+    """Send this package's source to the executors, once for each application, and bound
+    Arrow batches by bytes unless the session does."""
+    if spark.conf.get(_BATCH_BYTES, None) is None:
+        spark.conf.set(_BATCH_BYTES, ARROW_BATCH_BYTES)
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         root = Path(__file__).resolve().parent

@@ -5,10 +5,11 @@ Its MinHash samples give band keys and, folded into a parity bitmap, an odd
 sketch: the population count of two sketches' XOR estimates their similarity
 closely where it is high. In each band bucket every member is first held
 against the bucket's smallest id. Buckets whose members are linked by then are
-done; in the others, members of different components are held against each
-other, best estimates first, until no candidate is left untried. So a large
-group of near copies costs about one comparison a member, and no link between
-different texts is given up. Candidates count only if the full sets say so.
+done; in the others, members get a finer sketch, and those of different
+components are held against each other, best estimates first, until no candidate
+is left untried. A pair is tried in the first of its shared buckets only. So a
+large group of near copies costs about one comparison a member, and no link
+between different texts is given up. Candidates count only if the full sets say so.
 """
 
 from __future__ import annotations
@@ -31,7 +32,9 @@ from .textkit import LOWER, U64, chunks, minhash, mix, shingles, universal, word
 #: At similarity 0.85 all bands miss a pair with probability 4e-7, at 0.8 3e-5.
 SAMPLES, BANDS, ROWS = 128, 20, 4
 SKETCH_BITS = 512
-#: Members of a bucket that one task holds against the whole bucket.
+#: Samples and bits of the finer sketches, for members of buckets that stay mixed.
+FINE_SAMPLES, FINE_BITS = 512, 2048
+#: Members of a bucket that one task holds against as many others of it.
 PROBES = 4096
 _SKETCH = "doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>"
 
@@ -42,23 +45,23 @@ def shingle_sets(texts: list[bytes], k: int, lower: bool) -> list[np.ndarray]:
     return [np.unique(values[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
 
 
-def odd_sketches(samples: np.ndarray) -> np.ndarray:
+def odd_sketches(samples: np.ndarray, bits: int = SKETCH_BITS) -> np.ndarray:
     """Parity bitmaps of the samples (a row for each text), as 64-bit words: each
     sample with its number flips one bit."""
     n, k = samples.shape
-    bit = (mix(samples ^ mix(np.arange(k, dtype=U64))[None, :]) % U64(SKETCH_BITS)).astype(np.int64)
-    counts = np.bincount((np.arange(n)[:, None] * SKETCH_BITS + bit).ravel(), minlength=n * SKETCH_BITS).reshape(n, -1)
+    bit = (mix(samples ^ mix(np.arange(k, dtype=U64))[None, :]) % U64(bits)).astype(np.int64)
+    counts = np.bincount((np.arange(n)[:, None] * bits + bit).ravel(), minlength=n * bits).reshape(n, -1)
     return np.packbits((counts & 1).astype(np.uint8), axis=1).view(np.int64)
 
 
-def most_differing_bits(threshold: float) -> int:
+def most_differing_bits(threshold: float, k: int = SAMPLES, n: int = SKETCH_BITS) -> int:
     """Above so many differing bits, two sketches are not of sets as similar as
     ``threshold``: the expected count plus 5.5 standard deviations."""
-    n, k = SKETCH_BITS, SAMPLES
     differing = 2 * k * (1 - threshold)
     shrink = math.exp(-2 * differing / n)
     sampling = 2 * math.sqrt(k * threshold * (1 - threshold)) * shrink
-    return math.ceil(n / 2 * (1 - shrink) + 5.5 * math.hypot(sampling, 3.5))
+    folding = 3.5 * math.sqrt(n / SKETCH_BITS)
+    return math.ceil(n / 2 * (1 - shrink) + 5.5 * math.hypot(sampling, folding))
 
 
 def sketch(docs: DataFrame, k: int, lower: bool) -> DataFrame:
@@ -85,6 +88,20 @@ def sketch(docs: DataFrame, k: int, lower: bool) -> DataFrame:
     return docs.mapInArrow(run, _SKETCH)
 
 
+def fine_sketch(texts: DataFrame, k: int, lower: bool) -> DataFrame:
+    """id and finer odd sketch of each of ``texts`` (id, text)."""
+    a, b = universal(FINE_SAMPLES, 7)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in chunks(zip(batch.column("id").to_pylist(), (t.as_py().encode() for t in batch.column("text")), strict=True), lambda r: len(r[1])):
+                own = [t.translate(LOWER) if lower else t for _, t in rows]
+                bits = odd_sketches(minhash(*shingles(words(own), k), a, b), FINE_BITS)
+                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.ListArray.from_arrays(np.arange(0, bits.size + 1, bits.shape[1], dtype=np.int32), pa.array(bits.ravel()))], ["id", "sketch"])
+
+    return texts.select("id", "text").mapInArrow(run, "id long, sketch array<long>")
+
+
 def _differing_bits(x: str, y: str):
     words_ = SKETCH_BITS // 64
     return sum((F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(words_)), F.lit(0))
@@ -111,30 +128,44 @@ def _confirm(pairs: DataFrame, texts: DataFrame, numerator: int, denominator: in
     return pairs.join(first, "a").join(second, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long, linked boolean")
 
 
+def _rows_of(column: pa.ChunkedArray) -> np.ndarray:
+    """A column of lists of one length as a matrix."""
+    flat = np.concatenate([np.empty(0, np.int64), *(c.flatten().to_numpy() for c in column.chunks)])
+    return flat.view(np.uint64).reshape(len(column), -1)
+
+
 def _between(most: int, each: int):
     """Within a bucket, the pairs of members of different components whose sketches
-    differ in at most ``most`` bits; of each probe and other component the
-    ``each`` closest. more: whether any were left out."""
+    differ in at most ``most`` bits and whose first shared bucket it is; of each
+    probe and other component the ``each`` closest. more: whether any were left out."""
 
     def run(table: pa.Table) -> pa.Table:
         ids, comp = table.column("id").to_numpy(), table.column("component").to_numpy()
         probe = table.column("probe").to_numpy(zero_copy_only=False)
-        bits = np.array(table.column("sketch").to_pylist(), np.int64).view(np.uint64)
+        bits, bands = _rows_of(table.column("sketch")), _rows_of(table.column("bands"))
+        key = np.int64(table.column("key")[0].as_py()).view(np.uint64)
         base = np.flatnonzero(~probe)
-        out: list[tuple] = []
+        base = base[np.lexsort((ids[base], comp[base]))]
+        out_a, out_b, more = [], [], False
         for i in np.flatnonzero(probe):
-            far = np.bitwise_count(bits[base] ^ bits[i]).sum(axis=1)
-            near = np.flatnonzero((far <= most) & (comp[base] > comp[i]))
-            taken: dict[int, int] = {}
-            for j in near[np.argsort(far[near], kind="stable")]:
-                c = int(comp[base[j]])
-                n = taken.get(c, 0)
-                taken[c] = n + 1
-                if n < each:
-                    out.append((min(ids[i], ids[base[j]]), max(ids[i], ids[base[j]]), False))
-            out += [(None, None, True)] * any(n > each for n in taken.values())
-        a, b, more = zip(*out, strict=True) if out else ((), (), ())
-        return pa.table({"a": pa.array([x if x is None else int(x) for x in a], pa.int64()), "b": pa.array([x if x is None else int(x) for x in b], pa.int64()), "more": pa.array(more, pa.bool_())})
+            later = base[np.searchsorted(comp[base], comp[i], side="right") :]
+            far = np.bitwise_count(bits[later] ^ bits[i]).sum(axis=1)
+            close = np.flatnonzero(far <= most)
+            shared = bands[later[close]] == bands[i]
+            close = close[bands[i][shared.argmax(axis=1)] == key] if len(close) else close
+            # the nearest of each component
+            close = close[np.lexsort((far[close], comp[later[close]]))]
+            owner = comp[later[close]]
+            begins = np.flatnonzero(np.diff(owner, prepend=-1)) if len(owner) else owner
+            rank = np.arange(len(owner)) - np.repeat(begins, np.diff(np.append(begins, len(owner))))
+            more |= bool((rank >= each).any())
+            mates = ids[later[close[rank < each]]]
+            out_a.append(np.minimum(mates, ids[i]))
+            out_b.append(np.maximum(mates, ids[i]))
+        a, b = (np.concatenate([np.empty(0, np.int64), *x]) for x in (out_a, out_b))
+        if more:
+            return pa.table({"a": pa.array([*a.tolist(), None], pa.int64()), "b": pa.array([*b.tolist(), None], pa.int64()), "more": pa.array([False] * len(a) + [True], pa.bool_())})
+        return pa.table({"a": pa.array(a), "b": pa.array(b), "more": pa.array(np.zeros(len(a), bool))})
 
     return run
 
@@ -176,27 +207,34 @@ def near_duplicates(docs: DataFrame, numerator: int = 4, denominator: int = 5, k
     )
     tried = materialize(_confirm(near, texts, numerator, denominator, k, lower), "tried")
     parts = materialize(components(tried.filter("linked").select("a", "b")), "components")
-    each = 64
+    most = most_differing_bits(numerator / denominator, FINE_SAMPLES, FINE_BITS)
+    each, fine = 64, None
     while True:
         labelled = members.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
         mixed = labelled.groupBy("key").agg(F.min("component").alias("p"), F.max("component").alias("q"), F.count("*").alias("n")).filter("p < q").select("key", "n")
-        open_ = labelled.select("key", "id", "component").join(mixed, "key").join(sketches, "id").withColumn("parts", F.ceil(F.col("n") / PROBES).cast("int"))
-        open_ = materialize(open_, "mixed")
-        # a large bucket's probes are dealt out to several tasks, each with the whole bucket beside them
-        probes = open_.select("key", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), "id", "component", "sketch", F.lit(True).alias("probe"))
-        bases = open_.select("key", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "id", "component", "sketch", F.lit(False).alias("probe"))
-        offered = materialize(probes.unionByName(bases).groupBy("key", "part").applyInArrow(_between(most, each), "a long, b long, more boolean"), "offered")
+        unsettled = labelled.select("key", "id", "component").join(mixed, "key")
+        if fine is None:  # buckets only settle, so later rounds have no other members
+            unsettled = materialize(unsettled, "mixed")
+            asked = texts.join(unsettled.select("id").distinct().hint("shuffle_hash"), "id", "left_semi")
+            fine = materialize(fine_sketch(asked, k, lower), "fine-sketches").join(nodes.select("id", "bands"), "id")
+        open_ = materialize(unsettled.join(fine, "id").withColumn("parts", F.ceil(F.col("n") / PROBES).cast("int")), "open")
+        # a large bucket is cut into parts, and each two parts meet in a task
+        own, other = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+        member = ["id", "component", "sketch", "bands"]
+        probes = open_.select("key", own.alias("part"), other.alias("against"), *member, F.lit(True).alias("probe"))
+        bases = open_.select("key", other.alias("part"), own.alias("against"), *member, F.lit(False).alias("probe"))
+        offered = materialize(probes.unionByName(bases).groupBy("key", "part", "against").applyInArrow(_between(most, each), "a long, b long, more boolean"), "offered")
         fresh = offered.filter("a IS NOT NULL").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
         newly = materialize(_confirm(fresh, texts, numerator, denominator, k, lower), "tried")
         more = not offered.filter("more").isEmpty()
-        if not newly.filter("linked").isEmpty():
-            tried = tried.unionByName(newly)
+        tried = tried.unionByName(newly)
+        linked = not newly.filter("linked").isEmpty()
+        if linked:
             parts = materialize(components(tried.filter("linked").select("a", "b")), "components")
-        elif more:
-            tried = tried.unionByName(newly)
-            each *= 16
-        else:
+        if not more:  # every candidate between different components has been tried
             break
+        if not linked:
+            each *= 16
 
     by_class = classes.join(parts, F.col("rep") == F.col("id"), "left").select(F.col("digest").alias("_digest"), F.coalesce("component", "rep").alias("_component"))
     whole = found.join(by_class, (F.col("digest") == F.col("_digest")) & (F.col("n_shingles") > 0), "left")

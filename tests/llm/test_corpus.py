@@ -94,7 +94,9 @@ def test_near(spark):
     assert all(r["kept"] and r["component_id"] is None for r in near_dedup.near_duplicates(nulls).collect())
 
 
-def test_near_loses_no_link_in_drifting_groups(spark):
+@pytest.mark.parametrize("probes", [4096, 7])
+def test_near_loses_no_link_in_drifting_groups(spark, monkeypatch, probes):
+    monkeypatch.setattr(near_dedup, "PROBES", probes)  # small: buckets are cut into parts
     r, texts = random.Random(7), [words(100, 11)]
     for _ in range(150):  # each copy edits a random earlier one, so ends of the group aren't linked
         t = list(r.choice(texts[-5:]))

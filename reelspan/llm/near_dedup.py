@@ -65,12 +65,13 @@ def most_differing_bits(threshold: float, k: int = SAMPLES, n: int = SKETCH_BITS
 
 
 def sketch(docs: DataFrame, k: int, lower: bool) -> DataFrame:
-    """doc_id, n_shingles, a digest of the shingle set, band keys and odd sketch."""
+    """doc_id, n_shingles, a digest of the shingle set, band keys and odd sketch. A text
+    counts with its bits' counters towards a chunk, so many short ones stay small."""
     a, b = universal(SAMPLES, 6)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in chunks(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True), lambda r: len(r[1] or "")):
+            for rows in chunks(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True), lambda r: len(r[1] or "") + SKETCH_BITS * 8):
                 texts = [(r[1] or "").encode() for r in rows]
                 values, first = shingles(words([t.translate(LOWER) for t in texts] if lower else texts), k)
                 sets = [np.unique(values[i:j]) for i, j in zip(first[:-1], first[1:], strict=True)]
@@ -94,7 +95,7 @@ def fine_sketch(texts: DataFrame, k: int, lower: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in chunks(zip(batch.column("id").to_pylist(), (t.as_py().encode() for t in batch.column("text")), strict=True), lambda r: len(r[1])):
+            for rows in chunks(zip(batch.column("id").to_pylist(), (t.as_py().encode() for t in batch.column("text")), strict=True), lambda r: len(r[1]) + FINE_BITS * 8):
                 own = [t.translate(LOWER) if lower else t for _, t in rows]
                 bits = odd_sketches(minhash(*shingles(words(own), k), a, b), FINE_BITS)
                 yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.ListArray.from_arrays(np.arange(0, bits.size + 1, bits.shape[1], dtype=np.int32), pa.array(bits.ravel()))], ["id", "sketch"])

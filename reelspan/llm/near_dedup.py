@@ -216,6 +216,7 @@ def near_duplicates(docs: DataFrame, numerator: int = 4, denominator: int = 5, k
         unsettled = labelled.select("key", "id", "component").join(mixed, "key")
         if fine is None:  # buckets only settle, so later rounds have no other members
             unsettled = materialize(unsettled, "mixed")
+            members = unsettled.select("key", "id")
             asked = texts.join(unsettled.select("id").distinct().hint("shuffle_hash"), "id", "left_semi")
             fine = materialize(fine_sketch(asked, k, lower), "fine-sketches").join(nodes.select("id", "bands"), "id")
         open_ = materialize(unsettled.join(fine, "id").withColumn("parts", F.ceil(F.col("n") / PROBES).cast("int")), "open")

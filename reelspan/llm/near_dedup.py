@@ -33,7 +33,7 @@ from .textkit import LOWER, U64, chunks, minhash, mix, shingles, universal, word
 SAMPLES, BANDS, ROWS = 128, 20, 4
 SKETCH_BITS = 512
 #: Samples and bits of the finer sketches, for members of buckets that stay mixed.
-FINE_SAMPLES, FINE_BITS = 512, 2048
+FINE_SAMPLES, FINE_BITS = 2048, 8192
 #: Members of a bucket that one task holds against as many others of it.
 PROBES = 4096
 _SKETCH = "doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>"
@@ -95,7 +95,7 @@ def fine_sketch(texts: DataFrame, k: int, lower: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows in chunks(zip(batch.column("id").to_pylist(), (t.as_py().encode() for t in batch.column("text")), strict=True), lambda r: len(r[1]) + FINE_BITS * 8):
+            for rows in chunks(zip(batch.column("id").to_pylist(), (t.as_py().encode() for t in batch.column("text")), strict=True), lambda r: len(r[1]) + FINE_BITS * 8, limit=8 << 20):
                 own = [t.translate(LOWER) if lower else t for _, t in rows]
                 bits = odd_sketches(minhash(*shingles(words(own), k), a, b), FINE_BITS)
                 yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int64()), pa.ListArray.from_arrays(np.arange(0, bits.size + 1, bits.shape[1], dtype=np.int32), pa.array(bits.ravel()))], ["id", "sketch"])
@@ -150,10 +150,10 @@ def _between(most: int, each: int):
         out_a, out_b, more = [], [], False
         for i in np.flatnonzero(probe):
             later = base[np.searchsorted(comp[base], comp[i], side="right") :]
+            shared = bands[later] == bands[i]
+            later = later[bands[i][shared.argmax(axis=1)] == key] if len(later) else later
             far = np.bitwise_count(bits[later] ^ bits[i]).sum(axis=1)
             close = np.flatnonzero(far <= most)
-            shared = bands[later[close]] == bands[i]
-            close = close[bands[i][shared.argmax(axis=1)] == key] if len(close) else close
             # the nearest of each component
             close = close[np.lexsort((far[close], comp[later[close]]))]
             owner = comp[later[close]]

@@ -1,22 +1,24 @@
 """Main text of pages by the style trees of their sites.
 
-The pages of a host are merged into one tree: each node is a path of elements
-with their presentation (tag and class or id words), and has, from all pages
-that show it, how many there are and how many different contents it holds. A
-node's importance is the entropy of its contents relative to its pages, unless
-its presentation names it as a menu, header, footer, sidebar, notice, advert,
-form or comment section, whose importance is nil however its contents vary.
-A page's text is that of its branches that are important on its site; where it
-marks its article or main part, of those within.
+The pages of a host, but for scripts and other unseen parts, are merged into one
+tree. A node is a path of elements with their looks (tag and class or id words)
+and has, over the distinct pages that show it, two relative entropies: that of
+its own text (content) and that of the sequence of elements below it
+(presentation). A block's importance is its node's content entropy, halved where
+no node from its branch down varies in presentation. What an element is called
+(menu, footer, advert), and whether a block lies within or beside the page's
+article or main part, are evidence that is added to the importance; a page's
+text is that of its blocks which are left at ``IMPORTANCE`` or more.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import math
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,13 +27,17 @@ from pyspark.sql import functions as F
 from ..session import ship_package
 from .runtime import materialize
 
-#: Nodes below this importance go; those seen on fewer pages of a host are not judged by their contents.
-IMPORTANCE, LEAST_PAGES = 0.3, 8
+#: Blocks below this importance go; nodes seen on fewer pages of a host have the importance PRIOR.
+IMPORTANCE, LEAST_PAGES, PRIOR = 0.3, 8, 0.5
+#: Evidence: a telling name or tag, a place beside the page's article, both, a place within it.
+NAMED, BESIDE, BOTH, WITHIN = -0.6, -0.25, -0.65, 0.15
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes plaintext".split())
 _BLOCK = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead title tr ul".split())
-#: Elements without article text.
-_DROP = frozenset("head nav header footer aside form script style noscript iframe template svg math object canvas audio video button select textarea input menu dialog title xmp noembed noframes".split())
+#: Elements whose text is not shown as a page's text.
+_UNSEEN = frozenset("head script style noscript iframe template svg math object canvas audio video button select textarea input title xmp noembed noframes".split())
+#: Elements that by their tag are other parts than the article.
+_ASIDE = frozenset("nav header footer aside form menu dialog".split())
 #: Words of a class, id or role that name other parts than the article.
 _NAMES = frozenset("ad ads adv advert advertisement advertising adverts banner banners breadcrumb breadcrumbs comment comments consent cookie cookies copyright disclaimer disqus footer header login masthead menu menus nav navbar navigation newsletter notice notices pagination popup promo promos promoted promotion related recommended reply replies respond rail share sharing sidebar sidebars signup skip social sponsor sponsored sponsors subscribe subscription toolbar topbar widget widgets".split())
 _CLOSES_P = _BLOCK - {"option", "optgroup", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "body", "html", "title", "legend", "summary"}
@@ -44,16 +50,23 @@ _SPACE = re.compile(r"\s+")
 
 
 class Node:
-    """An open element: its path's presentation and whether it can hold article text."""
+    """An open element: its path, whether its text is unseen, whether it is named as
+    another part than the article or within it, the length of the path above its
+    branch, and the looks of its children."""
 
-    __slots__ = ("tag", "path", "dropped", "main", "depth")
+    __slots__ = ("tag", "path", "unseen", "named", "main", "above", "looks")
 
-    def __init__(self, tag: str, path: str, dropped: bool, main: bool, depth: int):
-        self.tag, self.path, self.dropped, self.main, self.depth = tag, path, dropped, main, depth
+    def __init__(self, tag: str, path: str, unseen: bool, named: bool, main: bool, above: int, looks: list[str]):
+        self.tag, self.path, self.unseen, self.named, self.main, self.above, self.looks = tag, path, unseen, named, main, above, looks
 
+    @property
+    def kind(self) -> tuple[bool, bool, bool]:
+        return self.unseen, self.named, self.main
 
-def _look(tag: str, attributes: str) -> tuple[str, bool]:
-    """An element's presentation, and whether that rules article text out."""
+
+def _look(tag: str, attributes: str) -> tuple[str, bool, bool]:
+    """An element's look, whether its text is unseen, and whether it is named as another
+    part than the article."""
     names, hidden = [], False
     if attributes:
         for m in _ATTRIBUTE.finditer(attributes):
@@ -64,38 +77,41 @@ def _look(tag: str, attributes: str) -> tuple[str, bool]:
                 names += re.split(r"[^a-z]+", re.sub(r"\d+", "", value))
     words = [w for w in names if w]
     own = tag not in ("html", "body", "article", "main")
-    dropped = tag in _DROP or own and (hidden or any(w in _NAMES for w in words))
-    return tag + "".join(f".{w}" for w in sorted(set(words))[:4]), dropped
-
-
-def blocks(page: str | None) -> list[tuple[str, str, bool, bool]]:
-    """Blocks of text in page order: presentation path, text, whether ruled out by
-    presentation, whether inside an article or main part. White space in a block
-    is one space; blocks without text are left out."""
-    out: list[tuple[str, str, bool, bool]] = []
-    stack = [Node("", "", False, False, 0)]
+    named = tag in _ASIDE or own and any(w in _NAMES for w in words)
+    return tag + "".join(f".{w}" for w in sorted(set(words))[:4]), tag in _UNSEEN or own and hidden, named
+
+
+def parse(page: str | None) -> tuple[list[tuple[str, str, bool, bool, int]], dict[str, list[list[str]]]]:
+    """Blocks of text in page order: path, text, whether named as another part than the
+    article, whether inside an article or main part, length of the path above its
+    branch; and of every path the looks of its children, for each element there.
+    White space in a block is one space; blocks without text and unseen parts are
+    left out."""
+    out: list[tuple[str, str, bool, bool, int]] = []
+    presentation: dict[str, list[list[str]]] = {}
+    stack = [Node("", "", False, False, False, 0, [])]
     held: list[str] = []
     at: Node | None = None
 
     def flush() -> None:
         if held:
             text = _SPACE.sub(" ", html.unescape("".join(held))).strip()
-            if text:
-                out.append((at.path, text, at.dropped, at.main))
+            if text and not at.unseen:
+                out.append((at.path, text, at.named, at.main, at.above))
             held.clear()
 
     def take(text: str) -> None:
         nonlocal at
-        # inline elements belong to the block around them unless they are ruled out
+        # inline elements belong to the block around them unless they are told apart
         node = stack[-1]
-        if at is not node and held and (node.dropped != at.dropped or node.main != at.main):
+        if at is not node and held and node.kind != at.kind:
             flush()
         if not held:
-            at = next((n for n in reversed(stack) if n.tag in _BLOCK), stack[0]) if not node.dropped else node
+            at = node if node.unseen or node.named else next((n for n in reversed(stack) if n.tag in _BLOCK), stack[0])
         held.append(text)
 
     def close(n: int) -> None:
-        if any(x.tag in _BLOCK or x.dropped for x in stack[n:]):
+        if any(x.tag in _BLOCK or x.unseen or x.named for x in stack[n:]):
             flush()
         del stack[n:]
 
@@ -137,14 +153,16 @@ def blocks(page: str | None) -> list[tuple[str, str, bool, bool]]:
                     close(i)
                     break
         parent = stack[-1]
-        look, dropped = _look(tag, m[3])
-        if tag in _BLOCK or dropped:
+        look, unseen, named = _look(tag, m[3])
+        if tag in _BLOCK or unseen or named:
             flush()
+        # a header inside an article belongs to it where it holds the title
+        if tag == "header" and parent.main and not parent.named:
+            named = any(w in _NAMES for w in look.split(".")[1:])
+        if not unseen:
+            parent.looks.append(look)
         if tag in _VOID:
             continue
-        # a header inside an article belongs to it where it holds the title
-        if tag == "header" and parent.main and not parent.dropped:
-            dropped = any(w in _NAMES for w in look.split(".")[1:])
         if tag in _RAW:
             end = re.compile(rf"</{tag}\b", re.IGNORECASE).search(page, place)
             place = end.start() if end else limit
@@ -153,10 +171,17 @@ def blocks(page: str | None) -> list[tuple[str, str, bool, bool]]:
             stop = page.find(">", place)
             place = stop + 1 if stop >= 0 else limit
             continue
-        path = f"{parent.path}>{look}" if tag in _BLOCK else parent.path
-        stack.append(Node(tag, path, parent.dropped or dropped, parent.main or tag in _MAIN or "main" in look.split(".")[1:] and tag == "div", parent.depth + 1))
+        main = parent.main or tag in _MAIN or tag == "div" and "main" in look.split(".")[1:]
+        path, looks = parent.path, parent.looks
+        if tag in _BLOCK or named:
+            path, looks = f"{path}>{look}", []
+            if not (parent.unseen or unseen):
+                presentation.setdefault(path, []).append(looks)
+        # a branch begins below the body, and anew at a name
+        above = len(path) if tag in ("html", "body") else len(parent.path) if named and not parent.named else parent.above
+        stack.append(Node(tag, path, parent.unseen or unseen, parent.named or named, main, above, looks))
     flush()
-    return out
+    return out, presentation
 
 
 def host_of(url: str | None) -> str:
@@ -166,41 +191,68 @@ def host_of(url: str | None) -> str:
 
 
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each page, its judged nodes: host, path and a hash of the contents."""
+    """Of each page, its nodes: host, path, a hash of the page, whether the value is of
+    the text or of the looks below, and its hash."""
     for batch in batches:
         rows = []
         for url, page in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            page = page.as_py()
+            found, presentation = parse(page)
             own: dict[str, list[str]] = {}
-            for path, text, dropped, main in blocks(page.as_py()):
-                if not dropped and not main:
-                    own.setdefault(path, []).append(text)
-            host = host_of(url)
-            rows += [(host, path, zlib.crc32("\n".join(texts).encode())) for path, texts in own.items()]
-        h, p, c = zip(*rows, strict=True) if rows else ((), (), ())
-        yield pa.RecordBatch.from_arrays([pa.array(h, pa.string()), pa.array(p, pa.string()), pa.array(c, pa.int64())], ["host", "path", "content"])
+            for path, text, *_ in found:
+                own.setdefault(path, []).append(text)
+            host, whole = host_of(url), int.from_bytes(hashlib.blake2b((page or "").encode(), digest_size=8).digest(), "big", signed=True)
+            rows += [(host, path, whole, True, zlib.crc32("\n".join(texts).encode())) for path, texts in own.items()]
+            rows += [(host, path, whole, False, zlib.crc32("|".join(map(",".join, looks)).encode())) for path, looks in presentation.items()]
+        columns = zip(*rows, strict=True) if rows else ((), (), (), (), ())
+        kinds = (pa.string(), pa.string(), pa.int64(), pa.bool_(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["host", "path", "page", "is_content", "value"])
 
 
 def style_trees(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, path, pages, importance) of the nodes of every host that lie outside the
-    marked article parts and are not ruled out by presentation.
+    """(host, path, pages, content, presentation) of the nodes of every host: on how many
+    distinct pages, and the two relative entropies (``importance``).
 
-    Contents are counted before hosts are put together, so a host with a third of
-    all pages costs a task one row per node and distinct content it has seen.
+    Copies of a page count once, so they make no template. Values are counted
+    before hosts are put together, so a host with a third of all pages costs a task
+    one row per node and distinct value it has seen.
     """
     ship_package(pages.sparkSession)
-    seen = pages.select(url_col, html_col).mapInArrow(_nodes, "host string, path string, content long")
-    counts = seen.groupBy("host", "path", "content").agg(F.count("*").alias("n"))
-    node = counts.groupBy("host", "path").agg(F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("s"))
-    entropy = F.log("pages") - F.col("s") / F.col("pages")
-    return node.select("host", "path", "pages", F.when(F.col("pages") < LEAST_PAGES, 1.0).otherwise(entropy / F.log("pages")).alias("importance"))
+    seen = pages.select(url_col, html_col).mapInArrow(_nodes, "host string, path string, page long, is_content boolean, value long")
+    counts = seen.distinct().groupBy("host", "path", "is_content", "value").agg(F.count("*").alias("n"))
+    node = counts.groupBy("host", "path", "is_content").agg(F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("s"))
+    entropy = F.when(F.col("pages") < 2, 1.0).otherwise(1 - F.col("s") / F.col("pages") / F.log(F.greatest("pages", F.lit(2))))
+    both = node.groupBy("host", "path")
+    return both.agg(F.max("pages").alias("pages"), F.max(F.when(F.col("is_content"), entropy)).alias("content"), F.max(F.when(~F.col("is_content"), entropy)).alias("presentation"))
+
+
+#: Nodes by path: pages, content, presentation.
+Tree = Mapping[str, tuple[int, float | None, float | None]]
+
+
+def block_importance(tree: Tree, path: str, above: int) -> float:
+    """The importance of a node's text on its site, from its branch down."""
+    pages, content, _ = tree.get(path, (0, None, None))
+    if content is None or pages < LEAST_PAGES:
+        return PRIOR
+    varied, at = 0.0, path
+    while len(at) > above:
+        varied = max(varied, tree.get(at, (0, None, None))[2] or 0.0)
+        at = at.rpartition(">")[0]
+    return content * (1 + varied) / 2
 
 
-def main_text(page: str | None, unimportant: set[str] = frozenset()) -> str:
+def main_text(page: str | None, tree: Tree | None = None) -> str:
     """A page's main text, its blocks joined by line feeds."""
-    found = [b for b in blocks(page) if not b[2]]
-    if any(main for _, _, _, main in found):
-        return "\n".join(text for _, text, _, main in found if main)
-    return "\n".join(text for path, text, _, _ in found if path not in unimportant)
+    found, _ = parse(page)
+    marked = any(main and not named for _, _, named, main, _ in found)
+    kept = []
+    for path, text, named, main, above in found:
+        beside = marked and not main
+        evidence = BOTH if named and beside else NAMED if named else BESIDE if beside else WITHIN if main else 0.0
+        if block_importance(tree or {}, path, above) + evidence >= IMPORTANCE:
+            kept.append(text)
+    return "\n".join(kept)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -210,16 +262,22 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     own kind, repeated rows keep a row each, other columns are ignored and an
     empty table gives an empty result. Pages of any length are read whole.
     """
-    low = materialize(style_trees(pages, url_col, html_col).filter(F.col("importance") < IMPORTANCE), "style-trees")
-    # paths of a host that go: as many as its templates have, whatever its pages
-    by_host = low.groupBy(F.col("host").alias("_host")).agg(F.sort_array(F.collect_set("path")).alias("_low"))
+    # what a single page shows has the prior's importance, as what no page has shown
+    nodes = materialize(style_trees(pages, url_col, html_col).filter("pages > 1"), "style-trees")
+    # nodes of a host: as many as its templates have, whatever its pages
+    by_host = nodes.groupBy(F.col("host").alias("_host")).agg(F.collect_list(F.struct("path", "pages", "content", "presentation")).alias("_tree"))
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^\s*(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
     source = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host.alias("_host"))
-    marked = source.join(by_host, "_host", "left").select("page_id", "url", "html", "_low")
+    marked = source.join(by_host, "_host", "left").select("page_id", "url", "html", "_host", "_tree")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text = [main_text(h.as_py(), set(low.as_py() or ())) for h, low in zip(batch.column("html"), batch.column("_low"), strict=True)]
+            trees: dict[str, Tree] = {}
+            text = []
+            for h, name, nodes in zip(batch.column("html"), batch.column("_host").to_pylist(), batch.column("_tree"), strict=True):
+                if name not in trees:
+                    trees[name] = {n["path"]: (n["pages"], n["content"], n["presentation"]) for n in nodes.as_py() or ()}
+                text.append(main_text(h.as_py(), trees[name]))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(text, pa.string())], ["page_id", "url", "text"])
 
     kind = pages.schema[id_col].dataType.simpleString()
@@ -227,8 +285,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
 
 
 def importance(contents: list[int]) -> float:
-    """The relative entropy of a node's contents by their counts, as in ``style_trees``."""
+    """The relative entropy of a node's values by their counts, as in ``style_trees``."""
     n = sum(contents)
-    if n < LEAST_PAGES:
+    if n < 2:
         return 1.0
     return -sum(c / n * math.log(c / n) for c in contents) / math.log(n)

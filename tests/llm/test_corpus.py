@@ -287,6 +287,34 @@ def test_main_text(spark):
     assert html_extract.extract(pages.limit(0)).count() == 0
 
 
+def site(spark, html_of, n):
+    """The lines left of every page of a host of n pages, by page."""
+    pages = spark.createDataFrame([(i, "http://h.example/%d" % i, html_of(i, random.Random(i))) for i in range(n)], "page_id long, url string, html string")
+    return {r["page_id"]: r["text"].split("\n") for r in html_extract.extract(pages).collect()}
+
+
+def test_style_tree_decides_within_and_beside_articles(spark):
+    def rich(i, r):
+        return "".join(r.choice(["<p>{}</p>", "<h2>{}</h2>", "<ul><li>{}</ul>"]).format(f"line {i} {k}") for k in range(3 + r.randrange(9)))
+
+    # what every page of the site shows goes though it lies in the article, unless its pages say nothing
+    def template(i, r):
+        return f"<body><article>{rich(i, r)}<div>Read our letter</div></article></body>"
+
+    got = site(spark, template, 40)
+    assert all("Read our letter" not in lines and len(lines) >= 3 for lines in got.values())
+    assert "Read our letter" in html_extract.main_text(template(1, random.Random(1)))
+    # what varies in text and build stays though it is not in the teaser that is marked as the article
+    got = site(spark, lambda i, r: f"<body><article><p>Teaser {i}</p></article><div>{rich(i, r)}</div></body>", 40)
+    assert all(len(lines) >= 4 for lines in got.values())
+    # a misleading name does not take the text away; a varying advert in one form still goes
+    got = site(spark, lambda i, r: f"<body><div class=ad>Buy {i}</div><div class=banner>{rich(i, r)}</div></body>", 40)
+    assert all(len(lines) >= 3 and f"Buy {i}" not in lines for i, lines in got.items())
+    # copies of a page make no template
+    got = site(spark, lambda i, r: f"<body><article><p>Story {i % 2}</p></article></body>", 40)
+    assert all(lines == [f"Story {i % 2}"] for i, lines in got.items())
+
+
 def test_chat(spark):
     call = '{"tool_calls":[{"id":"c1","name":"add","arguments":{"b":2,"a":1}},{"id":"c2","name":"add","arguments":"{\\"a\\":\\"x\\"}"},{"id":"c3","name":"none","arguments":{}}]}'
     rows = [(1, 0, "user", 'say "hi"\n\u00e9'), (1, 2, "tool", '{"tool_call_id":"c2","content":"early"}'), (1, 3, "assistant", call), (1, 4, "tool", '{"tool_call_id":"c1","content":"3"}'), (1, 5, "tool", '{"tool_call_id":"zz"}'), (2, 0, None, None), (None, 1, "assistant", "{not json")]

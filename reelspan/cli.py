@@ -3,17 +3,43 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 import logging
 import sys
 from pathlib import Path
 
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
 from .config import ExportConfig
+from .functions.packets import decode_frames
 from .plans.export import export
+from .plans.validate import found_in
 from .session import build_session
 from .sinks.convert import convert
 from .sources.recordings import open_dataset, resolve
 
 
+def frames_of(spark: SparkSession, args: argparse.Namespace, config: ExportConfig) -> DataFrame | None:
+    """The frames of the configured cameras, decoded here where packets are given."""
+    if not config.cameras:
+        return None
+    if args.frames:
+        return spark.read.parquet(args.frames)
+    if not args.packets:
+        raise ValueError("the configuration names cameras; give --frames, or --packets and --decoder")
+    module, _, name = (args.decoder or "").partition(":")
+    if not name:
+        raise ValueError("packets need --decoder MODULE:NAME; no H.264 decoder ships with this library")
+    try:
+        new_decoder = getattr(importlib.import_module(module), name)
+    except (ImportError, AttributeError) as error:
+        raise ValueError(f"no such decoder: {args.decoder} ({error})") from error
+    packets = spark.read.parquet(args.packets).filter(F.col("camera").isin([c.source for c in config.cameras]))
+    return decode_frames(packets, new_decoder).persist(StorageLevel.DISK_ONLY)
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="reelspan")
     p.add_argument("-v", "--verbose", action="store_true")
@@ -24,6 +50,10 @@ def main(argv: list[str] | None = None) -> int:
     e.add_argument("--config", required=True)
     e.add_argument("--output", required=True)
     e.add_argument("--catalog-url")
+    images = e.add_mutually_exclusive_group()
+    images.add_argument("--frames", help="table of decoded frames: segment_id, camera, t_ns, frame_seq, height, width, rgb")
+    images.add_argument("--packets", help="table of H.264 packets (segment_id, camera, t_ns, seq, data), decoded by --decoder")
+    e.add_argument("--decoder", help="MODULE:NAME of what makes a decoder, see functions.packets.decode_frames")
     c = commands.add_parser("convert")
     c.add_argument("dataset_dir")
     args = p.parse_args(argv)
@@ -35,7 +65,8 @@ def main(argv: list[str] | None = None) -> int:
             return 0
         config = ExportConfig.from_json(Path(args.config).read_text())
         location = args.dataset if args.catalog_url else str(resolve(args.dataset, args.recordings_dir))
-        export(open_dataset(spark, location, args.catalog_url), config, args.output)
+        signals, frames = open_dataset(spark, location, args.catalog_url), frames_of(spark, args, config)
+        export(signals, config, args.output, frames, found_in(config, signals, frames))
         if config.format == "groot":
             convert(spark, args.output)
     except (ValueError, RuntimeError, FileNotFoundError) as error:

@@ -29,9 +29,24 @@ def trim_of(signals: DataFrame, config: ExportConfig) -> DataFrame | None:
     return None
 
 
+def sized(frames: DataFrame, config: ExportConfig) -> DataFrame:
+    """Frames of the configured cameras. Pixels are not resized here, so a frame whose
+    size is not the one asked for is an error once its pixels are read."""
+    own = frames.filter(F.col("camera").isin([c.source for c in config.cameras]))
+    other = F.lit(False)
+    for c in config.cameras:
+        if c.resize:
+            width, height = c.resize
+            other = other | ((F.col("camera") == c.source) & ((F.col("width") != width) | (F.col("height") != height)))
+    if not any(c.resize for c in config.cameras):
+        return own
+    told = F.concat(F.lit("resizing is not built: camera "), "camera", F.lit(" has frames of "), "width", F.lit(" x "), "height")
+    return own.withColumn("height", F.when(other, F.raise_error(told)).otherwise(F.col("height")))
+
+
 def build(signals: DataFrame, config: ExportConfig, frames: DataFrame | None = None, step_ns: int | None = None, subset: list[str] | None = None, kind: str = "timestamp") -> Episodes:
     """``signals`` in the long layout, ``frames`` (segment_id, camera, t_ns,
-    frame_seq, ...) where cameras are configured.
+    frame_seq, height, width, ...), which must be given where cameras are configured.
 
     A segment is skipped if it is too long, has no action samples, lacks a camera,
     or its ranges don't overlap; it fails if no row has all action sources, its
@@ -40,6 +55,9 @@ def build(signals: DataFrame, config: ExportConfig, frames: DataFrame | None = N
     """
     if not config.action:
         raise ValueError("the configuration names no action source")
+    if config.cameras and frames is None:
+        raise ValueError(f"the configuration names cameras, but no frames are given: {', '.join(c.source for c in config.cameras)}")
+    frames = sized(frames, config) if config.cameras else None
     found = bounds.episode_indexes(bounds.segments(signals, subset))
     if subset:
         signals = signals.join(F.broadcast(found.select("segment_id")) if len(subset) <= 1000 else found.select("segment_id"), "segment_id", "left_semi")
@@ -49,7 +67,7 @@ def build(signals: DataFrame, config: ExportConfig, frames: DataFrame | None = N
 
     action = bounds.source_ranges(usable, config.action[:1]).select("segment_id", "start_ns", "end_ns")
     cameras = frames.groupBy("segment_id", "camera").agg(F.min("t_ns").alias("start_ns"), F.max("t_ns").alias("end_ns")) if frames is not None else None
-    n_cameras = len(config.cameras) if frames is not None else 0
+    n_cameras = len({c.source for c in config.cameras})
     ranges = bounds.valid_ranges(action, cameras, n_cameras)
     trim = trim_of(usable, config)
     kept = bounds.trimmed(ranges, trim)

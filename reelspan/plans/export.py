@@ -28,6 +28,8 @@ def export(signals: DataFrame, config: ExportConfig, output: str, frames: DataFr
     if Path(output).exists():
         raise ValueError(f"the output exists: {output}")
     validate_sources(config, found)
+    if config.cameras and frames is None:
+        raise ValueError("the configuration names cameras; give their frames")
     if abort and abort():
         raise RuntimeError("aborted before any episode was written")
     built = episodes.build(signals, config, frames, step_ns, subset)

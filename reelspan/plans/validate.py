@@ -4,11 +4,23 @@ from __future__ import annotations
 
 import logging
 
+from pyspark.sql import DataFrame
+
 from ..config import ExportConfig
 
 log = logging.getLogger(__name__)
 
 
+def found_in(config: ExportConfig, signals: DataFrame, frames: DataFrame | None = None) -> dict[str, list[str]]:
+    """What long tables of signals and frames have; their times are already those of the
+    configured timeline."""
+    return {
+        "timelines": [config.index_column],
+        "signals": sorted(r[0] for r in signals.select("source").distinct().collect()),
+        "cameras": sorted(r[0] for r in frames.select("camera").distinct().collect()) if frames is not None else [],
+    }
+
+
 def missing_sources(config: ExportConfig, found: dict[str, list[str]]) -> list[str]:
     """A line for each kind of thing that is missing, with what there is instead."""
     wanted = {

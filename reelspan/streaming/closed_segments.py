@@ -17,6 +17,8 @@ def follow(spark: SparkSession, path: str, schema: str, config: ExportConfig, si
     A file holds whole segments, as recordings do. ``sink(samples, status,
     batch_id)`` may see a batch again after a failure and must replace it by its id.
     """
+    if config.cameras:
+        raise ValueError("the stream carries no frames, but the configuration names cameras")
 
     def batch(signals: DataFrame, batch_id: int) -> None:
         built = episodes.build(signals, config)

@@ -190,6 +190,41 @@ def test_frames_join(spark):
     assert {r["segment_id"] for r in rows} == {"a"} and [bytes(r["images"]["top"]["rgb"]) for r in rows] == [b"x0", b"x0", b"x1", b"x1", b"x1", b"x2", b"x2", b"x2", b"x3", b"x3"]
 
 
+def test_cameras_are_not_passed_over(spark, tmp_path, monkeypatch):
+    from reelspan import cli
+    from reelspan.config import Camera
+    from reelspan.streaming.closed_segments import follow
+
+    layout = "segment_id string, camera string, t_ns long, frame_seq long, height int, width int, rgb binary"
+    config = ExportConfig(action=["arm"], cameras=[Camera("top")], fps=10)
+    for run in (lambda: episodes.build(recordings(spark), config), lambda: export(recordings(spark), config, str(tmp_path / "none")), lambda: follow(spark, "in", SIGNALS, config, print, "cp")):
+        with pytest.raises(ValueError, match="names cameras"):
+            run()
+    # a camera that is not asked for takes no segment away, and a size that is not there is told
+    frames = spark.createDataFrame([("a", c, i * 300 * MS, i, 4, 4, b"x%d" % i) for i in range(4) for c in ("top", "other")], layout)
+    assert episodes.build(recordings(spark), config, frames).samples.count() == 10
+    for width, fits in ((4, True), (8, False)):
+        built = episodes.build(recordings(spark), ExportConfig(action=["arm"], cameras=[Camera("top", width, 4)], fps=10), frames)
+        if fits:
+            assert len(built.samples.collect()) == 10
+        else:
+            with pytest.raises(Exception, match="resizing is not built"):
+                built.samples.collect()
+
+    monkeypatch.setattr(cli, "build_session", lambda: spark)
+    recordings(spark).write.parquet(str(tmp_path / "signals"))
+    frames.write.parquet(str(tmp_path / "frames"))
+    (tmp_path / "c.json").write_text(config.to_json())
+    (tmp_path / "back.json").write_text(ExportConfig(action=["arm"], cameras=[Camera("back")], fps=10).to_json())
+
+    def run_cli(config, *more):
+        return cli.main(["export", "--dataset", str(tmp_path / "signals"), "--config", str(tmp_path / config), "--output", str(tmp_path / "out"), *more])
+
+    assert run_cli("c.json") == run_cli("back.json", "--frames", str(tmp_path / "frames")) == run_cli("c.json", "--packets", "p") == 1 and not (tmp_path / "out").exists()
+    assert run_cli("c.json", "--frames", str(tmp_path / "frames")) == 0
+    assert spark.read.parquet(str(tmp_path / "out/data")).count() == 10
+
+
 def test_export_and_convert(spark, tmp_path):
     out = str(tmp_path / "set")
     result = export(recordings(spark), ExportConfig(format="groot", action=["arm"], state=["joints"], fps=10), out)

@@ -7,6 +7,9 @@ import math
 import os
 import re
 import shutil
+import subprocess
+from collections.abc import Callable, Iterator
+from functools import reduce
 from pathlib import Path
 
 import pandas as pd
@@ -18,8 +21,9 @@ from ..sources.recordings import load_info
 # fixed values: path templates and limits of the layout
 DATA_PATH = "data/chunk-{episode_chunk:03d}/episode_{episode_index:06d}.parquet"
 VIDEO_PATH = "videos/chunk-{episode_chunk:03d}/{video_key}/episode_{episode_index:06d}.mp4"
+SOURCE_VIDEO_PATH = "videos/{video_key}/chunk-{chunk_index:03d}/file-{file_index:03d}.mp4"
 VIDEO_SUFFIXES = (".mp4", ".avi", ".mov", ".mkv", ".webm")
-MOST_SECONDS, MOST_CLIP_SECONDS = 86_400, 3_600
+MOST_SECONDS, MOST_CLIP_SECONDS, CUT_TIMEOUT_S = 86_400, 3_600, 300
 CHUNK_SIZE = 1000
 
 
@@ -115,23 +119,105 @@ def clip_arguments(source: str, target: str, start: float, end: float) -> list[s
     check_video_path(target)
     if not (0 <= start <= MOST_SECONDS and 0 <= end <= MOST_SECONDS and start < end and end - start <= MOST_CLIP_SECONDS):
         raise ValueError(f"no clip from {start} to {end} seconds")
-    return ["ffmpeg", "-hide_banner", "-loglevel", "error", "-ss", f"{start:.6f}", "-i", source, "-t", f"{end - start:.6f}", "-c", "copy", "-y", target]
-
-
-def convert(spark: SparkSession, root: str, chunk_size: int = CHUNK_SIZE) -> dict:
+    return ["ffmpeg", "-hide_banner", "-loglevel", "error", "-ss", f"{start:.6f}", "-i", source, "-t", f"{end - start:.6f}", "-c", "copy", "-avoid_negative_ts", "1", "-y", target]
+
+
+def cut(source: str, target: str, start: float, end: float) -> None:
+    """Cut with ffmpeg, which the executors must have."""
+    command = clip_arguments(source, target, start, end)
+    try:
+        subprocess.run(command, check=True, timeout=CUT_TIMEOUT_S, capture_output=True, text=True)
+    except FileNotFoundError as error:
+        raise RuntimeError("there is no ffmpeg to cut videos with") from error
+    except subprocess.TimeoutExpired as error:
+        raise RuntimeError(f"ffmpeg took over {CUT_TIMEOUT_S} s for {target}") from error
+    except subprocess.CalledProcessError as error:
+        raise RuntimeError(f"ffmpeg failed for {target}: {error.stderr.strip()}") from error
+
+
+def video_clips(records: DataFrame, videos: list[str], root: str, template: str = SOURCE_VIDEO_PATH) -> DataFrame:
+    """(episode_index, video_key, source, start, end): each episode's video file and its
+    [start, end) seconds there, for every camera. ValueError if records don't tell."""
+
+    def of(key: str) -> DataFrame:
+        names = [f"videos/{key}/{n}" for n in ("chunk_index", "file_index", "from_timestamp", "to_timestamp")]
+        if gone := [n for n in names if n not in records.columns]:
+            raise ValueError(f"the episode records lack {', '.join(gone)}")
+        chunk, file, start, end = (F.col(f"`{n}`") for n in names)
+        return records.select(F.col("episode_index").cast("long").alias("episode_index"), F.lit(key).alias("video_key"), chunk.cast("long").alias("chunk_index"), file.cast("long").alias("file_index"), start.cast("double").alias("start"), end.cast("double").alias("end"))
+
+    rows = reduce(DataFrame.unionAll, map(of, videos))
+
+    @F.pandas_udf("string")
+    def source(key: pd.Series, chunk: pd.Series, file: pd.Series) -> pd.Series:
+        return pd.Series([None if pd.isna(c) or pd.isna(f) else f"{root}/" + template.format(video_key=k, chunk_index=int(c), file_index=int(f)) for k, c, f in zip(key, chunk, file, strict=True)], dtype=object)
+
+    return rows.withColumn("source", source("video_key", "chunk_index", "file_index")).select("episode_index", "video_key", "source", "start", "end")
+
+
+def check_clips(clips: DataFrame, episodes: int, videos: list[str]) -> None:
+    """Every episode has a clip of every camera, within the limits, from a file that exists."""
+    untold = clips.filter("source IS NULL OR start IS NULL OR `end` IS NULL").select("episode_index", "video_key").first()
+    if untold:
+        raise ValueError(f"episode {untold[0]} has no video file or times for {untold[1]}")
+    n = clips.select("episode_index", "video_key").distinct().count()
+    if n != episodes * len(videos):
+        raise ValueError(f"the episode records name {n} videos for {episodes} episodes of {len(videos)} cameras")
+    for r in clips.select("source").distinct().toLocalIterator():
+        if not Path(check_video_path(r["source"])).is_file():
+            raise FileNotFoundError(f"no {r['source']}")
+    bad = clips.filter(f"NOT (start >= 0 AND `end` <= {MOST_SECONDS} AND start < `end` AND `end` - start <= {MOST_CLIP_SECONDS})").first()
+    if bad:
+        raise ValueError(f"no clip from {bad['start']} to {bad['end']} seconds")
+
+
+def write_videos(clips: DataFrame, root: str, chunk_size: int = CHUNK_SIZE, cutter: Callable[[str, str, float, float], None] = cut) -> int:
+    """Cut every clip on the executors and return how many there are. A clip is made
+    under another name and moved, so a repeated task leaves one whole file."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for r in pdf.itertuples():
+                path = Path(root) / VIDEO_PATH.format(episode_chunk=r.episode_index // chunk_size, video_key=r.video_key, episode_index=r.episode_index)
+                path.parent.mkdir(parents=True, exist_ok=True)
+                part = path.with_name(f".{os.getpid()}.{path.name}")
+                cutter(r.source, str(part), r.start, r.end)
+                if not part.is_file():
+                    raise RuntimeError(f"the cutter made no {path}")
+                part.replace(path)
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    spread = clips.repartition("episode_index", "video_key")
+    return spread.mapInPandas(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+def convert(spark: SparkSession, root: str, chunk_size: int = CHUNK_SIZE, cutter: Callable[[str, str, float, float], None] | None = None) -> dict:
     """Convert a dataset in place: build beside it, then swap; the old one stays as
-    ``<name>_v3.0``. Existing siblings of those names are refused, not deleted."""
+    ``<name>_v3.0``. Existing siblings of those names are refused, not deleted.
+
+    Where there are video features, each episode's part is cut from its video file
+    by ``cutter(source, target, start, end)``, ffmpeg if none is given. What can't be
+    cut (no ffmpeg, no file, no times) is an error before anything is written.
+    """
     info = load_info(root)
     old = Path(root)
     new, backup = old.with_name(f"{old.name}_v2.1"), old.with_name(f"{old.name}_v3.0")
     for p in (new, backup):
         if p.exists():
             raise FileExistsError(f"{p} exists; move it first")
+    records = spark.read.parquet(f"{old}/meta/episodes")
+    videos = [k for k, f in info["features"].items() if f.get("dtype") == "video"]
+    if videos:
+        clips = video_clips(records, videos, str(old), info.get("video_path") or SOURCE_VIDEO_PATH)
+        check_clips(clips, records.count(), videos)
+        if cutter is None and not shutil.which("ffmpeg"):
+            raise RuntimeError("there is no ffmpeg to cut videos with")
     (new / "meta").mkdir(parents=True)
     frames = spark.read.parquet(f"{old}/data")
     written = write_episodes(frames, str(new), chunk_size)
     count = written.agg(F.count("*")).first()[0]
-    records = spark.read.parquet(f"{old}/meta/episodes")
+    if videos:
+        write_videos(clips, str(new), chunk_size, cutter or cut)
     lines = episode_lines(records)
     for name, column in (("episodes.jsonl", "line"), ("episodes_stats.jsonl", "stats_line")):
         with open(new / "meta" / name, "w") as f:

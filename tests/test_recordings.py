@@ -242,6 +242,42 @@ def test_export_and_convert(spark, tmp_path):
         conv.convert(spark, out)
 
 
+def test_convert_cuts_videos(spark, tmp_path):
+    key, out = "observation.images.top", tmp_path / "set"
+    export(recordings(spark), ExportConfig(action=["arm"], fps=10), str(out))
+    info = json.loads((out / "meta/info.json").read_text())
+    info["features"][key] = {"dtype": "video", "shape": [4, 4, 3]}
+    (out / "meta/info.json").write_text(json.dumps(info))
+
+    def cutter(source, target, start, end):
+        with open(source, "rb") as f, open(target, "wb") as g:
+            g.write(f.read()[int(start) : int(end)])
+
+    # no video is told of, or its file is missing, or nothing can cut: the dataset stays as it was
+    def refused(error, cutter=cutter):
+        with pytest.raises(error):
+            conv.convert(spark, str(out), cutter=cutter)
+        assert not list(tmp_path.glob("set_*")) and json.loads((out / "meta/info.json").read_text())["codebase_version"] == "v3.0"
+
+    refused(ValueError)
+    told = spark.createDataFrame([(i, 0, i // 2, float(2 * (i % 2)), float(2 * (i % 2) + 2)) for i in range(3)], ["episode_index", *(f"videos/{key}/{n}" for n in ("chunk_index", "file_index", "from_timestamp", "to_timestamp"))])
+    records = spark.read.parquet(f"{out}/meta/episodes").join(told, "episode_index").toPandas()
+    assert len(records) == 3
+    (out / "meta/episodes").rename(tmp_path / "old")
+    spark.createDataFrame(records).write.parquet(f"{out}/meta/episodes")
+    folder = out / f"videos/{key}/chunk-000"
+    folder.mkdir(parents=True)
+    (folder / "file-000.mp4").write_bytes(b"aabb")
+    refused(FileNotFoundError)
+    (folder / "file-001.mp4").write_bytes(b"cc")
+    if not __import__("shutil").which("ffmpeg"):
+        refused(RuntimeError, None)
+    conv.convert(spark, str(out), chunk_size=2, cutter=cutter)
+    got = {str(p.relative_to(out)): p.read_bytes() for p in out.glob("videos/**/*") if p.is_file()}
+    assert got == {f"videos/chunk-{i // 2:03d}/{key}/episode_{i:06d}.mp4": b for i, b in enumerate((b"aa", b"bb", b"cc"))}
+    assert json.loads((out / "meta/info.json").read_text())["total_videos"] == 3
+
+
 def test_nothing_to_export(spark, tmp_path):
     with pytest.raises(RuntimeError, match="no action samples"):
         export(recordings(spark).filter("segment_id = 'd'"), ExportConfig(action=["arm"]), str(tmp_path / "none"))

@@ -27,8 +27,8 @@ from pyspark.sql import functions as F
 from ..session import ship_package
 from .runtime import materialize
 
-#: Blocks below this importance go; nodes seen on fewer pages of a host have the importance PRIOR.
-IMPORTANCE, LEAST_PAGES, PRIOR = 0.3, 8, 0.5
+#: Blocks below this importance go; a node starts with the importance PRIOR, as if WEIGHT pages had told so.
+IMPORTANCE, PRIOR, WEIGHT = 0.3, 0.5, 3
 #: Evidence: a telling name or tag, a place beside the page's article, both, a place within it.
 NAMED, BESIDE, BOTH, WITHIN = -0.6, -0.25, -0.65, 0.15
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -78,7 +78,7 @@ def _look(tag: str, attributes: str) -> tuple[str, bool, bool]:
     words = [w for w in names if w]
     own = tag not in ("html", "body", "article", "main")
     named = tag in _ASIDE or own and any(w in _NAMES for w in words)
-    return tag + "".join(f".{w}" for w in sorted(set(words))[:4]), tag in _UNSEEN or own and hidden, named
+    return tag + "".join(f".{w}" for w in sorted(set(words))), tag in _UNSEEN or own and hidden, named
 
 
 def parse(page: str | None) -> tuple[list[tuple[str, str, bool, bool, int]], dict[str, list[list[str]]]]:
@@ -233,13 +233,14 @@ Tree = Mapping[str, tuple[int, float | None, float | None]]
 def block_importance(tree: Tree, path: str, above: int) -> float:
     """The importance of a node's text on its site, from its branch down."""
     pages, content, _ = tree.get(path, (0, None, None))
-    if content is None or pages < LEAST_PAGES:
+    if content is None:
         return PRIOR
     varied, at = 0.0, path
     while len(at) > above:
         varied = max(varied, tree.get(at, (0, None, None))[2] or 0.0)
         at = at.rpartition(">")[0]
-    return content * (1 + varied) / 2
+    # one page alone tells nothing; the more there are, the less the prior counts
+    return (content * (1 + varied) / 2 * (pages - 1) + PRIOR * WEIGHT) / (pages - 1 + WEIGHT)
 
 
 def main_text(page: str | None, tree: Tree | None = None) -> str:

@@ -315,6 +315,16 @@ def test_style_tree_decides_within_and_beside_articles(spark):
     assert all(lines == [f"Story {i % 2}"] for i, lines in got.items())
 
 
+def test_all_words_of_a_look_and_small_sites_count(spark):
+    assert html_extract.main_text('<div class="a b c d main"><p>x</p></div><p>out</p>') == "x"
+    assert html_extract.main_text('<article><header class="a b c d sponsor"><p>buy</p></header><p>x</p></article>') == "x"
+    for n in (2, 5, 7, 8):
+        got = site(spark, lambda i, r: f"<body><div class=x>Story {i}</div><div class=y>Same line</div></body>", n)
+        assert all(lines == [f"Story {i}", *["Same line"] * (n == 2)] for i, lines in got.items())
+    same = [html_extract.block_importance({"a": (n, 0.0, 0.0)}, "a", 0) for n in range(1, 40)]
+    assert same[0] == html_extract.PRIOR and all(0 < x - y < 0.13 for x, y in zip(same, same[1:], strict=False))
+
+
 def test_chat(spark):
     call = '{"tool_calls":[{"id":"c1","name":"add","arguments":{"b":2,"a":1}},{"id":"c2","name":"add","arguments":"{\\"a\\":\\"x\\"}"},{"id":"c3","name":"none","arguments":{}}]}'
     rows = [(1, 0, "user", 'say "hi"\n\u00e9'), (1, 2, "tool", '{"tool_call_id":"c2","content":"early"}'), (1, 3, "assistant", call), (1, 4, "tool", '{"tool_call_id":"c1","content":"3"}'), (1, 5, "tool", '{"tool_call_id":"zz"}'), (2, 0, None, None), (None, 1, "assistant", "{not json")]

@@ -269,6 +269,15 @@ def test_toxicity_rows(spark):
     assert toxicity.toxicity_scores(empty(spark), toxicity.fit_on(df, labels)).count() == 0
 
 
+def test_similar_pairs_against_brute_force(spark):
+    base = words(150, 7)
+    texts = [" ".join(base[:i] + ["new"] * (i % 3) + base[i:]) for i in range(0, 150, 15)] + [" ".join(words(60, s)) for s in range(8)] + ["", "one", "one", " ".join(base[40:])]
+    docs = spark.createDataFrame([*enumerate(texts), (None, texts[0]), (99, None)], "doc_id long, text string")
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))} if t.split() else set() for t in texts]
+    want = {(a, b) for b in range(len(texts)) for a in range(b) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) > 0}
+    assert len(want) > 20 and {tuple(r) for r in fingerprints.similar_pairs(docs).collect()} == want
+
+
 PAGE = """<html><head><title>T</title><script>var a="<p>no</p>";</script></head><body><header class="site-header">Logo</header>
 <nav><ul><li>Home</li></ul></nav><div id="cookie-notice">We use cookies</div><div class="content"><h1>Title &amp; co</h1><p>One <i>two</i>
  three<p>Four &#233;<div class="sidebar"><p>side</p></div><ul><li>a<li>b</ul><form><p>mail</p></form><section class="comments"><p>first!</p></section></div>

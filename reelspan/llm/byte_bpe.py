@@ -11,24 +11,27 @@ one entry, however often it stands there, so no word makes a task heavy.
 from __future__ import annotations
 
 import hashlib
+import pickle
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import materialize, pieces
+from .runtime import partitions, pieces
 from .textkit import chunks
 from .tokenise import Vocabulary, ranks
 
 #: Bytes of text whose words share a block.
 BLOCK_BYTES = 24 << 20
-_PARTS = "kind int, block long, bucket int, doc_id long, seq int, data binary"
+_PARTS = "kind int, block long, bucket int, data binary"
 _kept: dict[str, object] = {}
 
 
@@ -71,56 +74,67 @@ def token_bytes(v: Vocabulary) -> dict[int, bytes]:
 
 
 def _split_blocks(pattern: str, buckets: int):
-    """Documents to rows of kind 0 (a bucket's words), 1 (the numbers of the words in
-    the order of the buckets) and 2 (a document's words by position)."""
+    """Documents to rows of kind 0 (a bucket's words, by falling frequency), 1 (where the
+    words of the buckets stand among the block's) and 2 (some documents, with the
+    words of each by position). A block's words are numbered by falling frequency, so
+    most positions take one or two bytes before they are compressed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
         find, part, block = regex.compile(pattern).findall, TaskContext.get().partitionId(), 0
         number: dict[str, int] = {}
+        held: list[tuple[list, np.ndarray, np.ndarray]] = []
         size = 0
 
-        def row(kind, bucket, docs, seqs, data):
+        def row(kind: int, bucket: list, data: list[bytes]) -> pa.RecordBatch:
             n = len(data)
-            own = (part << 32) + block
-            return pa.RecordBatch.from_arrays(
-                [pa.array([kind] * n, pa.int32()), pa.array([own] * n, pa.int64()), pa.array(bucket or [None] * n, pa.int32()), pa.array(docs or [None] * n, pa.int64()), pa.array(seqs or [None] * n, pa.int32()), pa.array(data, pa.binary())],
-                ["kind", "block", "bucket", "doc_id", "seq", "data"],
-            )
+            return pa.RecordBatch.from_arrays([pa.array([kind] * n, pa.int32()), pa.array([(part << 32) + block] * n, pa.int64()), pa.array(bucket, pa.int32()), pa.array(data, pa.binary())], ["kind", "block", "bucket", "data"])
 
-        def words():
+        def whole_block() -> Iterator[pa.RecordBatch]:
+            often = np.zeros(len(number), np.int64)
+            for _, _, at in held:
+                often += np.bincount(at, minlength=len(often))
             coded = [w.encode() for w in number]
             bucket = np.fromiter((zlib.crc32(w) % buckets for w in coded), np.int64, len(coded))
-            order = np.argsort(bucket, kind="stable")
+            by_rank = np.argsort(-often, kind="stable")
+            rank = np.empty_like(by_rank)
+            rank[by_rank] = np.arange(len(by_rank))
+            order = by_rank[np.argsort(bucket[by_rank], kind="stable")]
             cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
-            data = [packed_strings([coded[i] for i in own]) for own in np.split(order, cuts[1:])] if len(order) else []
-            if data:
-                yield row(0, bucket[order][cuts].tolist(), None, None, data)
-            yield row(1, None, None, None, [packed(order)])
+            for own in np.split(order, cuts[1:]) if len(order) else ():
+                yield row(0, [bucket[own[0]]], [packed_strings([coded[i] for i in own])])
+            yield row(1, [None], [packed(rank[order])])
+            while held:
+                docs, counts, at = held.pop()
+                yield row(2, [None], [pickle.dumps((docs, packed(counts), packed(rank[at])), protocol=5)])
 
-        seq = 0
         for batch in batches:
             for rows in chunks(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True), lambda r: len(r[1] or "")):
-                data = []
+                counts, at = [], array("I")
                 for _, text in rows:
                     found = find(text or "")
                     for w in found:
                         if w not in number:
                             number[w] = len(number)
-                    data.append(packed(np.fromiter(map(number.__getitem__, found), np.uint32, len(found))))
+                    at.extend(map(number.__getitem__, found))
+                    counts.append(len(found))
                     size += len(text or "")
-                yield row(2, None, [r[0] for r in rows], list(range(seq, seq + len(rows))), data)
-                seq += len(rows)
+                held.append(([r[0] for r in rows], np.asarray(counts, np.uint32), np.frombuffer(at, np.uint32)))
                 if size >= BLOCK_BYTES:
-                    yield from words()
+                    yield from whole_block()
                     number, size, block = {}, 0, block + 1
-        if seq:
-            yield from words()
+        if held:
+            yield from whole_block()
 
     return run
 
 
+def _words_of(table: pa.Table) -> pa.Table:
+    """A block's words, bucket by bucket."""
+    return table.filter(pc.equal(table.column("kind"), 0)).select(["block", "bucket", "data"])
+
+
 def _encode_words(v: Vocabulary, pattern: str):
     """The ids of each block's words of a bucket; a bucket's rows stand together, and
     each of its distinct words is encoded once."""
@@ -162,14 +176,17 @@ def _reassemble(finish):
         length, start = np.empty_like(n), np.empty_like(n)
         length[order], start[order] = n, at  # by the block's own numbers
         docs, out = [], []
-        for kind, doc, data in zip(kinds, left.column("doc_id").to_pylist(), left.column("data"), strict=True):
+        for kind, data in zip(kinds, left.column("data"), strict=True):
             if kind == 2:
-                w = unpacked(data.as_py())
+                own, counts, at = pickle.loads(data.as_py())
+                w = unpacked(at)
                 m = length[w]
                 ends = np.cumsum(m)
-                place = np.arange(ends[-1] if len(ends) else 0) + np.repeat(start[w] - ends + m, m)
-                docs.append(doc)
-                out.append(finish(flat[place]))
+                flat_ids = flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(start[w] - ends + m, m)]
+                words_to = np.cumsum(unpacked(counts).astype(np.int64))
+                to = np.concatenate(([0], ends))[np.concatenate(([0], words_to))]
+                docs += own
+                out += [finish(flat_ids[i:j]) for i, j in zip(to[:-1], to[1:], strict=True)]
         return pa.table([pa.array(docs, pa.int64()), *(pa.array(x, t) for x, t in zip(zip(*out, strict=True), finish.types, strict=True))], names=["doc_id", *finish.names])
 
     return run
@@ -203,20 +220,19 @@ class _Ids:
         self.v = v
 
     def __call__(self, ids: np.ndarray) -> tuple:
-        listed = ids.tolist()
-        return listed, b"".join(map(token_bytes(self.v).__getitem__, listed))
+        return ids.astype(np.int32), b"".join(map(token_bytes(self.v).__getitem__, ids.tolist()))
 
 
 def _encoded(docs: DataFrame, path: str, pattern: str, finish, schema: str, id_col: str, text_col: str) -> DataFrame:
     spark = docs.sparkSession
     v = Vocabulary.load(spark, path)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    buckets = pieces(source, 4 << 20)
-    rows = materialize(source.mapInArrow(_split_blocks(pattern, buckets), _PARTS), "pre-tokens", "kind")
-    words = rows.filter("kind = 0").select("block", "bucket", "data").repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    ids = words.mapInArrow(_encode_words(v, pattern), "block long, bucket int, data binary")
-    asked = rows.filter("kind > 0").select("kind", "block", "doc_id", "data")
-    return asked.groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(_reassemble(finish(v)), schema)
+    buckets, blocks = pieces(source, 4 << 20), pieces(source, BLOCK_BYTES)
+    # one shuffle of all parts, read by both branches; a task takes block after block
+    by_block = source.mapInArrow(_split_blocks(pattern, buckets), _PARTS).repartition(partitions(blocks), "block").groupBy("block")
+    words = by_block.applyInArrow(_words_of, "block long, bucket int, data binary").repartition(partitions(buckets), "bucket").sortWithinPartitions("bucket")
+    ids = words.mapInArrow(_encode_words(v, pattern), "block long, bucket int, data binary").repartition(partitions(blocks), "block")
+    return by_block.cogroup(ids.groupBy("block")).applyInArrow(_reassemble(finish(v)), schema)
 
 
 def encode_digests(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -7,21 +7,62 @@ import math
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import SparkContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
 
 _LOCAL: list[str] = []
+#: Paths of the scratch tables that stand.
+_TABLES: list[str] = []
+
+
+def _delete(paths: list[str]) -> None:
+    """Delete tables in whatever store they are."""
+    context = SparkContext._active_spark_context
+    for path in paths:
+        at = context._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(context._jsc.hadoopConfiguration()).delete(at, True)
 
 
 @atexit.register
-def _drop_local() -> None:
+def _drop_scratch() -> None:
+    """Scratch tables go with the program that made them, at the latest."""
+    if _TABLES and SparkContext._active_spark_context is not None:
+        _delete(_TABLES)
     for path in _LOCAL:
         shutil.rmtree(path, ignore_errors=True)
 
 
+class Scratch:
+    """The scratch tables made within a ``scratch_tables`` block that are to stay."""
+
+    def __init__(self) -> None:
+        self.kept: set[str] = set()
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.kept.add(df._scratch_path)
+        return df
+
+
+@contextmanager
+def scratch_tables() -> Iterator[Scratch]:
+    """Delete the scratch tables made in the block at its end, but for those kept.
+
+    What leaves the block must be read from a kept table: then nothing later
+    asks for the others, even where an executor is lost.
+    """
+    before, own = list(_TABLES), Scratch()
+    yield own
+    gone = [p for p in _TABLES if p not in before and p not in own.kept]
+    _delete(gone)
+    _TABLES[:] = [p for p in _TABLES if p not in gone]
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor sees: ``spark.checkpoint.dir``.
 
@@ -48,17 +89,23 @@ def materialize(df: DataFrame, name: str, partition_by: str | None = None) -> Da
     """Write ``df`` below the shared folder and read it back.
 
     Cuts the lineage at a table that survives the loss of an executor, and
-    computes ``df`` once however often the result is read.
+    computes ``df`` once however often the result is read. The table is deleted
+    at the end of the ``scratch_tables`` block around, or of the program.
     """
     spark = ship_package(df.sparkSession)
     path = scratch_path(spark, name)
+    _TABLES.append(path)
     writer = df.write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    read = spark.read.schema(df.schema).parquet(path)
+    read._scratch_path = path
+    return read
 
 
+#: Tasks of a stage at most, which bounds what the driver keeps of a shuffle.
+MOST_TASKS = 200_000
 #: Estimates from here on are Catalyst's stand-ins for "unknown" or products of a join's sides.
 UNKNOWN = 1 << 50
 
@@ -73,16 +120,26 @@ def input_bytes(df: DataFrame) -> int:
     return int(df.agg(sum(texts, F.lit(0)).alias("n")).first()["n"])
 
 
-def without(docs: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose id is in the one column of ``gone``, whatever the
-    names of its columns."""
-    rows = docs.select(F.struct("*").alias("row"))
-    ids = gone.toDF("gone")
-    return rows.join(ids, F.col(f"row.`{id_col}`") == F.col("gone"), "left_anti").select("row.*")
+def pieces(df: DataFrame, bytes_each: int) -> int:
+    """How many pieces of about ``bytes_each`` estimated bytes ``df`` has, at least the
+    session's shuffle partitions, so that each piece fits a task at any size."""
+    n = int(ship_package(df.sparkSession).conf.get("spark.sql.shuffle.partitions"))
+    return max(n, math.ceil(input_bytes(df) / bytes_each))
 
 
-def pieces(df: DataFrame, bytes_each: int, most: int = 1_000_000) -> int:
-    """How many pieces of about ``bytes_each`` estimated bytes ``df`` has, at least
-    the session's shuffle partitions, so that each piece fits a task at any size."""
-    n = int(ship_package(df.sparkSession).conf.get("spark.sql.shuffle.partitions"))
-    return max(n, min(most, math.ceil(input_bytes(df) / bytes_each)))
+def partitions(n: int) -> int:
+    """Into how many partitions ``n`` pieces are dealt: beyond ``MOST_TASKS`` a task does
+    several of them, one after the other."""
+    return min(n, MOST_TASKS)
+
+
+def text_key(text_col: str) -> Column:
+    """What tells rows of one id apart by their texts."""
+    return F.xxhash64(F.col(text_col))
+
+
+def without(docs: DataFrame, id_col: str, key: Column, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose id and ``key`` are in the two columns of ``gone``,
+    whatever the names of its columns. Rows with a null id stay."""
+    rows = docs.select(F.struct("*").alias("row"), key.alias("key"))
+    return rows.join(gone.toDF("gone_id", "gone_key"), (F.col(f"row.`{id_col}`") == F.col("gone_id")) & F.col("key").eqNullSafe(F.col("gone_key")), "left_anti").select("row.*")

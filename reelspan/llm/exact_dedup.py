@@ -58,6 +58,10 @@ def heavy_hitters(keyed: DataFrame, counters: int = 4096) -> DataFrame:
     )
 
 
+def text_digest(text: Column) -> Column:
+    return F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256)
+
+
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", normalise: Column | None = None, counters: int = 4096) -> DataFrame:
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -69,8 +73,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     columns of ``docs`` are not looked at, whatever their names. An empty
     table gives an empty result.
     """
-    text = F.coalesce(normalise if normalise is not None else F.col(text_col), F.lit(""))
-    keyed = materialize(docs.select(F.col(id_col).alias("doc_id"), F.sha2(text.cast("binary"), 256).alias("digest")), "digests")
+    digest = text_digest(normalise if normalise is not None else F.col(text_col))
+    keyed = materialize(docs.select(F.col(id_col).alias("doc_id"), digest.alias("digest")), "digests")
     # the winners are few and are used twice: a table keeps them from being counted again
     heavy = materialize(heavy_hitters(keyed, counters), "heavy")
     hot = keyed.join(F.broadcast(heavy), "digest")
@@ -83,8 +87,8 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = 4096) -> DataFrame:
     """``docs`` without the rows that ``exact_duplicates`` does not keep; same columns.
 
-    Only the ids of dropped rows are joined, so clean rows pass untouched.
-    Ids must be unique; rows with a null id always stay.
+    Only ids and digests of dropped rows are joined. Rows that repeat an id are
+    judged by their own texts; rows with a null id always stay.
     """
-    gone = exact_duplicates(docs, id_col, text_col, counters=counters).filter(~F.col("kept")).select("doc_id")
-    return without(docs, id_col, gone)
+    gone = exact_duplicates(docs, id_col, text_col, counters=counters).filter(~F.col("kept")).select("doc_id", "text_sha256")
+    return without(docs, id_col, text_digest(F.col(text_col)), gone)

@@ -14,11 +14,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .runtime import without
+from .runtime import materialize, scratch_tables
 from .textkit import U64, chunks, mix
 
 #: Groups of terms that name people by the same kind of trait; terms of a group are swapped for one another.
@@ -37,8 +37,9 @@ IDENTITY_TERMS: tuple[tuple[str, ...], ...] = (
 )
 #: Labelled rows the fit takes at most, by order of a hash of their ids.
 FIT_ROWS = 8_000
-#: Features the classifier keeps at most, those that tell the labels apart best.
-FIT_FEATURES = 1024
+#: A feature counts if so many of these rows have it, and it tells the labels apart by
+#: so large a log-likelihood ratio.
+LEAST_ROWS, LEAST_RATIO = 4, 10.0
 #: Code points of the word starts that are features beside whole words.
 STARTS = (4, 5, 6)
 
@@ -120,62 +121,32 @@ class Classifier:
         return float(self.scores([text])[0])
 
 
-def fit(texts: list[str], labels: list[int], fairness: float = 5.0, ridge: float = 1e-5, steps: int = 600) -> Classifier:
-    """The classifier of labelled texts. ``fairness`` weighs the mean squared change
-    of margin between sentences and their swaps. With no rows, or rows of one
-    label, every score is the label's share."""
-    y = np.asarray(labels, float)
+def solve(keys: np.ndarray, rows: list[np.ndarray], y: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]], fairness: float, ridge: float, steps: int) -> Classifier:
+    """The classifier over ``keys``. ``rows`` holds the places in them of what each row
+    has, ``pairs`` those that a swap takes away and those that it brings."""
     share = (y.sum() + 0.5) / (len(y) + 1)
     bias = float(np.log(share / (1 - share)))
     if not 0 < y.sum() < len(y):
         return Classifier(bias=bias)
-    rows = [features(t) for t in texts]
-    flat = np.concatenate(rows)
-    of = np.repeat(y, [len(r) for r in rows])
-    keys, where = np.unique(flat, return_inverse=True)
-    pos = np.bincount(where, of, len(keys))
-    n = np.bincount(where, minlength=len(keys))
-    # the log-likelihood ratio of presence against the label
-    p, total = y.sum(), len(y)
-    a, b, c, d = pos, n - pos, p - pos, total - p - (n - pos)
-
-    def part(x, row, col):
-        return np.where(x > 0, x * np.log(np.maximum(x, 1e-12) * total / (row * col)), 0)
-
-    ratio = part(a, p, n) + part(b, total - p, n) + part(c, p, total - n + 1e-9) + part(d, total - p, total - n + 1e-9)
-    usable = np.flatnonzero((n >= 4) & (ratio > 10))
-    chosen = usable[np.lexsort((keys[usable], -ratio[usable]))[:FIT_FEATURES]]
-    pairs = []
-    terms = np.unique(np.concatenate([hashed([t])[1][-1:] for g in IDENTITY_TERMS for t in g]))
-    for t, own in zip(texts, rows, strict=True):
-        if not len(np.intersect1d(own, terms, assume_unique=True)):
-            continue
-        for sentence in t.replace("\n", ". ").split(". "):
-            for by in (1, 2):
-                if (other := swapped(sentence, by)) is not None:
-                    pairs.append((features(sentence), features(other)))
-    named = np.unique(np.concatenate([features(t) for g in IDENTITY_TERMS for t in g]))
-    kept = np.unique(np.concatenate([keys[chosen], np.intersect1d(named, keys)]))
-
-    def indexed(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        inside = [np.searchsorted(kept, np.intersect1d(s, kept, assume_unique=True)) for s in sets]
-        return np.repeat(np.arange(len(sets)), [len(i) for i in inside]), np.concatenate(inside) if inside else np.empty(0, int)
-
-    row, col = indexed(rows)
-    # of a pair, the features that the swap takes away and those that it brings
-    off_row, off_col = indexed([np.setdiff1d(s, o) for s, o in pairs])
-    on_row, on_col = indexed([np.setdiff1d(o, s) for s, o in pairs])
+
+    def flat(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        return np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.concatenate([np.empty(0, np.int32), *sets])
+
+    p, total, size = y.sum(), len(y), len(keys)
+    row, col = flat(rows)
+    off_row, off_col = flat([a for a, _ in pairs])
+    on_row, on_col = flat([b for _, b in pairs])
     # both labels weigh the same in all, whatever their shares
     weigh = np.where(y > 0, total / (2 * p), total / (2 * (total - p)))
-    w, bias = np.zeros(len(kept)), 0.0
-    m, v = np.zeros(len(kept) + 1), np.zeros(len(kept) + 1)
+    w, bias = np.zeros(size), 0.0
+    m, v = np.zeros(size + 1), np.zeros(size + 1)
     for step in range(1, steps + 1):
         z = bias + np.bincount(row, w[col], total)
         error = weigh * (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y)
-        g = np.bincount(col, error[row], len(kept)) / total + ridge * w
+        g = np.bincount(col, error[row], size) / total + ridge * w
         if pairs:
             gap = np.bincount(off_row, w[off_col], len(pairs)) - np.bincount(on_row, w[on_col], len(pairs))
-            g += 2 * fairness / len(pairs) * (np.bincount(off_col, gap[off_row], len(kept)) - np.bincount(on_col, gap[on_row], len(kept)))
+            g += 2 * fairness / len(pairs) * (np.bincount(off_col, gap[off_row], size) - np.bincount(on_col, gap[on_row], size))
         g = np.append(g, error.mean())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         move = 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
@@ -185,7 +156,7 @@ def fit(texts: list[str], labels: list[int], fairness: float = 5.0, ridge: float
     low, high = np.quantile(z[y == 0], 0.999), np.quantile(z[y > 0], 0.01)
     if low < high:
         bias -= (low + high) / 2
-    return Classifier(kept, w, float(bias))
+    return Classifier(keys, w, float(bias))
 
 
 def held_out(id_col: str):
@@ -193,16 +164,83 @@ def held_out(id_col: str):
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0
 
 
-def fit_on(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Classifier:
+def _swaps(text: str, own: np.ndarray, terms: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of each sentence with identity terms and its swaps: the features that a swap takes
+    away and those that it brings."""
+    if len(np.intersect1d(own, terms, assume_unique=True)):
+        for sentence in text.replace("\n", ". ").split(". "):
+            for by in (1, 2):
+                if (other := swapped(sentence, by)) is not None:
+                    a, b = features(sentence), features(other)
+                    yield np.setdiff1d(a, b, assume_unique=True), np.setdiff1d(b, a, assume_unique=True)
+
+
+def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Labelled texts (tie, label, text) to rows with their features, and to swaps (no
+    label) with the features that go and come."""
+    terms = np.unique(np.concatenate([hashed([t])[1][-1:] for g in IDENTITY_TERMS for t in g]))
+    for batch in batches:
+        for tie, label, text in zip(*(batch.column(i) for i in range(3)), strict=True):
+            own = features(text.as_py())
+            swaps = list(_swaps(text.as_py(), own, terms))
+            n = len(swaps)
+            yield pa.RecordBatch.from_pydict({
+                "tie": pa.array([tie.as_py()] * (n + 1), pa.string()),
+                "label": pa.array([label.as_py()] + [None] * n, pa.int32()),
+                "features": pa.array([own.view(np.int64), *(a.view(np.int64) for a, _ in swaps)], pa.list_(pa.int64())),
+                "brought": pa.array([None, *(b.view(np.int64) for _, b in swaps)], pa.list_(pa.int64())),
+            })
+
+
+def _log_likelihood_ratio(n: Column, pos: Column, total: float, p: float) -> Column:
+    """Of a feature's presence (in n rows, pos of them labelled 1) against the label."""
+
+    def part(x: Column, row: Column, col: float) -> Column:
+        return F.when(x > 0, x * F.log(x * total / (row * col))).otherwise(0.0)
+
+    return part(pos, n, p) + part(n - pos, n, total - p) + part(p - pos, total - n, p) + part(total - p - (n - pos), total - n, total - p)
+
+
+def fit_on(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS, fairness: float = 5.0, ridge: float = 1e-5, steps: int = 600, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Classifier:
     """Fit on at most ``rows`` labelled rows that are not held out. Rows without id,
-    text or label are passed over; an id labelled twice counts twice."""
+    text or label are passed over; an id labelled twice counts twice. ``fairness``
+    weighs the mean squared change of margin between sentences and their swaps.
+    With no rows, or rows of one label, every score is the label's share.
+
+    Texts are hashed and features are counted and chosen on the executors; what
+    reaches the driver are the chosen features and, of each row, their places.
+    """
+    spark = ship_package(docs.sparkSession)
     own = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & ~held_out(id_col))
     # the sample is drawn from the labels before any text is read, and is at most ``rows`` long
-    sample = own.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_label")).orderBy(F.xxhash64("_id"), "_id", "_label").limit(rows)
+    sample = own.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")).orderBy(F.xxhash64("_id"), "_id", "_label").limit(rows)
     texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("_text")).filter("_text IS NOT NULL")
-    got = texts.join(F.broadcast(sample), F.col("_doc") == F.col("_id")).select("_id", "_text", "_label").collect()
-    got = sorted(((r["_id"], r["_text"], r["_label"]) for r in got), key=lambda r: (str(r[0]), r[2], r[1]))
-    return fit([r[1] for r in got], [r[2] for r in got])
+    labelled = texts.join(F.broadcast(sample), F.col("_doc") == F.col("_id")).select(F.col("_id").cast("string"), "_label", "_text")
+    with scratch_tables():
+        described = materialize(labelled.mapInArrow(_described, "tie string, label int, features array<long>, brought array<long>"), "labelled-features")
+        known = described.filter("label IS NOT NULL")
+        seen = known.agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("pos")).first()
+        total, p = float(seen["n"]), float(seen["pos"])
+        if not 0 < p < total:
+            return solve(np.empty(0, U64), [], np.repeat([1.0, 0.0], [int(p), int(total - p)]), [], fairness, ridge, steps)
+        counts = known.select("label", F.explode("features").alias("key")).groupBy("key").agg(F.count("*").alias("n"), F.sum("label").alias("pos"))
+        names = np.unique(np.concatenate([features(t) for g in IDENTITY_TERMS for t in g])).view(np.int64).tolist()
+        telling = (F.col("n") >= LEAST_ROWS) & (_log_likelihood_ratio(F.col("n"), F.col("pos"), total, p) > LEAST_RATIO)
+        keys = np.sort(counts.filter(telling | F.col("key").isin(names)).select("key").toArrow().column(0).to_numpy().view(U64))
+        kept = spark.sparkContext.broadcast(keys)
+
+        def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            def within(lists) -> pa.Array:
+                found = (np.asarray(x.values.to_numpy() if x.is_valid else (), np.int64).view(U64) for x in lists)
+                return pa.array([np.searchsorted(kept.value, np.intersect1d(f, kept.value, assume_unique=True)).astype("<i4").tobytes() for f in found], pa.binary())
+
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([batch.column("tie"), batch.column("label"), within(batch.column("features")), within(batch.column("brought"))], ["tie", "label", "features", "brought"])
+
+        got = described.mapInArrow(places, "tie string, label int, features binary, brought binary").toArrow().to_pylist()
+    got.sort(key=lambda r: (r["tie"], -1 if r["label"] is None else r["label"], r["features"], r["brought"]))
+    at = [(r["label"], np.frombuffer(r["features"], "<i4"), np.frombuffer(r["brought"], "<i4")) for r in got]
+    return solve(keys, [a for label, a, _ in at if label is not None], np.asarray([label for label, *_ in at if label is not None], float), [(a, b) for label, a, b in at if label is None], fairness, ridge, steps)
 
 
 def toxicity_scores(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -223,7 +261,16 @@ def toxicity_scores(docs: DataFrame, classifier: Classifier, id_col: str = "doc_
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, score double, predicted int")
 
 
-def drop_toxic(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose score is 0.5 or more; same columns. Ids must be unique."""
-    gone = toxicity_scores(docs, classifier, id_col, text_col).filter("predicted = 1").select("doc_id")
-    return without(docs, id_col, gone)
+def drop_toxic(docs: DataFrame, classifier: Classifier, text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows whose score is 0.5 or more; same columns. Each row is
+    judged by its own text, whatever its id; a null text counts as empty."""
+    model = ship_package(docs.sparkSession).sparkContext.broadcast(classifier)
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = chunks((t.as_py() or "" for t in batch.column(at)), len)
+            score = np.concatenate([np.empty(0), *(model.value.scores(p) for p in parts)])
+            yield batch.filter(pa.array(score < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)

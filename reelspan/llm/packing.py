@@ -151,7 +151,8 @@ def pack(pieces: DataFrame, capacity: int) -> DataFrame:
     table = spark.sparkContext.broadcast({n: tuple(np.asarray(x, np.int64) for x in (r.rank, r.bin, r.copies, r.offset)) for n, r in runs.items()})
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_base"))
-    ranked = pieces.join(base, ["length", "part"]).withColumn("_rank", F.col("_base") + F.col("nth")).drop("_base", "part", "nth")
+    # as many rows as parts and lengths: they grow with the pieces, so they are never broadcast
+    ranked = pieces.join(base.hint("merge"), ["length", "part"]).withColumn("_rank", F.col("_base") + F.col("nth")).drop("_base", "part", "nth")
     payload = [c for c in ranked.columns if c != "_rank"]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

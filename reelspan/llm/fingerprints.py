@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .near_dedup import shingle_sets
-from .runtime import materialize, pieces
+from .runtime import materialize, partitions, pieces
 from .textkit import U64, chunks, minhash, mix, shingles, universal, words
 
 PERMUTATIONS = 128
@@ -128,7 +128,7 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     # beside the id, a digest of the row splits a run of equal ids among tasks
-    ordered = source.withColumn("_tie", F.xxhash64("text")).repartitionByRange(pieces(source, 16 << 20), "doc_id", "_tie").sortWithinPartitions("doc_id", "_tie").select("doc_id", "text")
+    ordered = source.withColumn("_tie", F.xxhash64("text")).repartitionByRange(partitions(pieces(source, 16 << 20)), "doc_id", "_tie").sortWithinPartitions("doc_id", "_tie").select("doc_id", "text")
     schema = f"kind int, part long, doc_id long, text string, {_PAIR.removeprefix('doc_id long, ')}, near_next double"
     rows = materialize(ordered.mapInArrow(_along, schema), "fingerprints", "kind")
     # a row per task: their order is a window over as many rows as there were tasks

@@ -60,13 +60,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.chat_messages(_read(spark, sf_dir, "conversations"))
 
 
-def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import corpus_pipeline
-
-    return corpus_pipeline.run(spark, sf_dir)
-
-
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_substring_dedup, op3_best_fit_packing, op4_token_counts, op5_html_extraction, op6_minhash_near_dedup, op7_exact_dedup, op8_byte_bpe, op9_fingerprints, op10_chat_formatting, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_substring_dedup, op3_best_fit_packing, op4_token_counts, op5_html_extraction, op6_minhash_near_dedup, op7_exact_dedup, op8_byte_bpe, op9_fingerprints, op10_chat_formatting)}
 
 _SPACES = r"[\x20\x09-\x0D]+"
 _WORDS = rf"list_filter(regexp_split_to_array(coalesce({{}}, ''), '{_SPACES}'), lambda x: x <> '')"

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .runtime import pieces
+from .runtime import partitions, pieces, text_key
 from .textkit import U64, Words, chunks, mix, sequences, words
 
 #: Estimated bytes of a block, and of the input for each shard.
@@ -283,11 +283,27 @@ def _remove(window: int):
                 kept.append(b" ".join(own).decode())
             n_words.append(len(own))
             n_removed.append(gone)
-        return pa.table({"doc_id": table.column("doc_id"), "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "kept_text": pa.array(kept, pa.string())})
+        return pa.table({"doc_id": table.column("doc_id"), "text_key": table.column("text_key"), "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "kept_text": pa.array(kept, pa.string())})
 
     return run
 
 
+def _judged(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text_key, n_words, n_removed and kept_text of each row."""
+    ship_package(docs.sparkSession)
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(text_col).alias("text_key"), F.col(text_col).alias("text"))
+    blocks, shards = pieces(source, BLOCK_BYTES), pieces(source, SHARD_BYTES)
+    # one shuffle of the text, read three times
+    dealt = source.withColumn("block", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(blocks)).cast("int")).repartition(partitions(blocks), "block")
+    by_block = dealt.groupBy("block")
+    offered = by_block.applyInArrow(_offer_anchors(window, shards), _MESSAGE)
+    shared = offered.repartition(partitions(shards), "shard").groupBy("shard").applyInArrow(_shared_anchors, _ANSWER)
+    stretches = by_block.cogroup(shared.groupBy("block")).applyInArrow(_offer_stretches(window, shards), _MESSAGE)
+    located = stretches.repartition(partitions(shards), "shard").groupBy("shard").applyInArrow(_locate_phrases(window), _ANSWER)
+    answers = shared.withColumn("which", F.lit(0)).unionByName(located.withColumn("which", F.lit(1)))
+    return by_block.cogroup(answers.groupBy("block")).applyInArrow(_remove(window), "doc_id long, text_key long, n_words long, n_removed long, kept_text string")
+
+
 def repeated_passages(docs: DataFrame, window: int = 13, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_words, n_removed, kept_text.
 
@@ -298,24 +314,15 @@ def repeated_passages(docs: DataFrame, window: int = 13, id_col: str = "doc_id",
     others lose them; rows with the same id don't remove one another. Other
     columns are ignored, texts are whole, an empty table gives an empty result.
     """
-    ship_package(docs.sparkSession)
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    blocks, shards = pieces(source, BLOCK_BYTES), pieces(source, SHARD_BYTES)
-    # one shuffle of the text, read three times
-    dealt = source.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"), "doc_id", "text").repartition(blocks, "block")
-    by_block = dealt.groupBy("block")
-    offered = by_block.applyInArrow(_offer_anchors(window, shards), _MESSAGE)
-    shared = offered.repartition(shards, "shard").groupBy("shard").applyInArrow(_shared_anchors, _ANSWER)
-    stretches = by_block.cogroup(shared.groupBy("block")).applyInArrow(_offer_stretches(window, shards), _MESSAGE)
-    located = stretches.repartition(shards, "shard").groupBy("shard").applyInArrow(_locate_phrases(window), _ANSWER)
-    answers = shared.withColumn("which", F.lit(0)).unionByName(located.withColumn("which", F.lit(1)))
-    return by_block.cogroup(answers.groupBy("block")).applyInArrow(_remove(window), "doc_id long, n_words long, n_removed long, kept_text string")
+    return _judged(docs, window, id_col, text_col).drop("text_key")
 
 
 def drop_repeated_passages(docs: DataFrame, window: int = 50, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with repeated passages taken out of the text; same rows and columns,
-    and texts that lose nothing stay as they are. Ids must be unique."""
-    found = repeated_passages(docs, window, id_col, text_col).filter("n_removed > 0")
-    changed = found.select(F.col("doc_id").alias("changed_id"), F.col("kept_text").alias("kept"))
-    joined = docs.select(F.struct("*").alias("row")).join(changed, F.col(f"row.`{id_col}`") == F.col("changed_id"), "left")
+    """``docs`` with repeated passages taken out of the text; same rows and columns, and
+    texts that lose nothing stay as they are. Rows that repeat an id are changed each
+    by its own text; rows with a null id stay as they are."""
+    found = _judged(docs, window, id_col, text_col).filter("n_removed > 0 AND doc_id IS NOT NULL")
+    # repeated rows lose the same words, so one of them speaks for all
+    changed = found.select(F.col("doc_id").alias("changed_id"), F.col("text_key").alias("changed_key"), F.col("kept_text").alias("kept")).dropDuplicates(["changed_id", "changed_key"])
+    joined = docs.select(F.struct("*").alias("row"), text_key(text_col).alias("key")).join(changed, (F.col(f"row.`{id_col}`") == F.col("changed_id")) & (F.col("key") == F.col("changed_key")), "left")
     return joined.select(F.when(F.col("kept").isNotNull(), F.col("row").withField(f"`{text_col}`", F.col("kept"))).otherwise(F.col("row")).alias("row")).select("row.*")

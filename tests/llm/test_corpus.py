@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import json
 import random
 import re
 import zlib
@@ -78,6 +79,9 @@ def test_substring(spark):
     assert out.columns == df.columns and out.count() == len(rows)
     assert out.filter("doc_id = 7").first()["text"] == "A  b"
     assert substring_dedup.repeated_passages(empty(spark)).count() == 0
+    a, b = " ".join(words(20, 31)), " ".join(words(20, 32))
+    twice = spark.createDataFrame([(1, a), (2, f"x {a}"), (2, f"x {a}"), (2, b), (3, f"{b} y"), (None, a)], "doc_id long, text string")
+    assert sorted((r["doc_id"] or 9, r["text"]) for r in substring_dedup.drop_repeated_passages(twice, 13).collect()) == sorted([(1, a), (2, "x"), (2, "x"), (2, b), (3, "y"), (9, a)])
     loose = spark.createDataFrame([(None, " ".join(words(20, 1)))] * 2 + [(3, " ".join(words(20, 1)))], "doc_id long, text string")
     assert [r["n_removed"] for r in substring_dedup.repeated_passages(loose).collect()] == [0, 0, 0]
 
@@ -90,6 +94,12 @@ def test_near(spark):
     assert all(got[i]["component_id"] == i and got[i]["kept"] for i in (4, 5, 11, 12))
     assert near_dedup.near_duplicates(empty(spark)).count() == 0
     assert near_dedup.drop_near_duplicates(df).columns == df.columns
+    # two texts of one id are two texts
+    a, b = words(100, 21), words(100, 22)
+    near = lambda w, i: " ".join([*w[:i], "edit", *w[i + 1 :]])
+    twice = spark.createDataFrame([(1, " ".join(a)), (1, " ".join(b)), (2, near(a, 50)), (3, near(b, 50)), (3, "else what"), (3, "else what")], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["component_id"]) for r in near_dedup.near_duplicates(twice).collect()) == [(1, 1), (1, 1), (2, 1), (3, 1), (3, 3), (3, 3)]
+    assert sorted((r["doc_id"], r["text"]) for r in near_dedup.drop_near_duplicates(twice).collect()) == sorted([(1, " ".join(a)), (1, " ".join(b)), (3, "else what"), (3, "else what")])
     nulls = spark.createDataFrame([(None, "a b c d e f")] * 2, "doc_id long, text string")
     assert all(r["kept"] and r["component_id"] is None for r in near_dedup.near_duplicates(nulls).collect())
 
@@ -187,9 +197,14 @@ def test_counts_and_their_cache(spark, tmp_path):
         for i in got:
             n = len(t.encode(rows[i] or "", add_special_tokens=False).ids)
             assert (got[i]["n_tokens"], got[i]["over_limit"], got[i]["n_bytes"]) == (n, n > 100, len((rows[i] or "").encode()))
-    stored = spark.read.parquet(cache)
+    stored = spark.read.option("recursiveFileLookup", "true").parquet(cache)
     assert stored.count() == stored.select("tokenizer", "digest").distinct().count() == len({x or "" for x in rows.values()})
     assert token_counts.token_counts(empty(spark), WORD).count() == 0
+    # counts that two runs have stored, and rows that repeat, make no row more; what is stored is what is given
+    stored.withColumn("n_tokens", F.lit(7).cast("long")).write.parquet(f"{cache}2/one")
+    spark.read.parquet(f"{cache}2/one").write.parquet(f"{cache}2/two")
+    got = token_counts.token_counts(df.unionByName(df).unionByName(df.limit(1).withColumn("text", F.lit("fresh"))), WORD, f"{cache}2").collect()
+    assert len(got) == 2 * len(rows) + 1 and sorted({r["n_tokens"] for r in got}) == [len(t.encode("fresh").ids), 7]
     import sentencepiece
 
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -234,7 +249,7 @@ def test_fingerprints(spark):
     assert one["near_next"] == 1.0
 
 
-def test_toxicity_held_out_and_counterfactual():
+def test_toxicity_held_out_and_counterfactual(spark):
     r = random.Random(3)
     texts, labels = [], []
     for i in range(1200):
@@ -248,20 +263,36 @@ def test_toxicity_held_out_and_counterfactual():
             w[9] = r.choice(["christian", "hindu"])
         texts.append(" ".join(w))
         labels.append(int(toxic))
-    plain, fair = (toxicity.fit(texts[:900], labels[:900], fairness=f) for f in (0.0, 20.0))
+    def frames(rows):
+        docs = spark.createDataFrame([(i, texts[i]) for i in rows], "doc_id long, text string")
+        return docs, spark.createDataFrame([(i, labels[i]) for i in rows], "doc_id long, toxic int")
+
+    plain, fair = (toxicity.fit_on(*frames(range(900)), fairness=f) for f in (0.0, 20.0))
     right = np.mean((fair.scores(texts[900:]) >= 0.5) == np.array(labels[900:]))
     assert right > 0.97
+    # what is held out teaches nothing, whatever its texts and labels say
+    out = [i for i in range(900) if zlib.crc32(str(i).encode()) % 5 == 0]
+    docs, marks = frames(range(900))
+    other = toxicity.fit_on(docs.withColumn("text", F.when(F.col("doc_id").isin(out), "idiot all day").otherwise(F.col("text"))), marks.withColumn("toxic", F.when(F.col("doc_id").isin(out), 1 - F.col("toxic")).otherwise(F.col("toxic"))), fairness=20.0)
+    assert len(out) > 100 and (other.keys == fair.keys).all() and np.array_equal(other.weights, fair.weights) and other.bias == fair.bias
+    # nor does the order or dealing of the rows
+    again = toxicity.fit_on(docs.repartition(7, "text"), marks.orderBy(F.desc("doc_id")), fairness=20.0)
+    assert np.array_equal(again.weights, fair.weights)
     pair = ["the muslim neighbour came by", "the christian neighbour came by"]
     gap = [abs(np.subtract(*np.log(m.scores(pair) / (1 - m.scores(pair))))) for m in (plain, fair)]
     assert gap[1] < 0.5 * gap[0]
     assert fair.score(pair[0]) < 0.5
     assert toxicity.swapped("The Muslim, said") == "The Christian, said" and toxicity.swapped("none here") is None
-    assert toxicity.fit([], []).score("x") == 0.5
+    assert toxicity.fit_on(*(d.limit(0) for d in frames(range(9)))).score("x") == 0.5
+    assert toxicity.fit_on(*frames([i for i in range(40) if labels[i]])).score("x") > 0.9
 
 
 def test_toxicity_rows(spark):
     df, rows = awkward(spark)
-    model = toxicity.fit(["you idiot " + " ".join(words(9, i)) for i in range(40)] + [" ".join(words(9, i)) for i in range(100)], [1] * 40 + [0] * 100)
+    rude = spark.createDataFrame([(i, ("you idiot " if i % 3 == 0 else "") + " ".join(words(9, i)), int(i % 3 == 0)) for i in range(140)], "doc_id long, text string, toxic int")
+    model = toxicity.fit_on(rude.select("doc_id", "text"), rude.select("doc_id", "toxic"))
+    twice = spark.createDataFrame([(1, "you idiot"), (1, "fine words"), (None, "you idiot"), (None, None)], "doc_id long, text string")
+    assert [tuple(r) for r in toxicity.drop_toxic(twice, model).collect()] == [(1, "fine words"), (None, None)]
     got = {r["doc_id"]: r for r in toxicity.toxicity_scores(df, model).collect()}
     assert set(got) == set(rows) and got[4]["score"] == got[5]["score"] == got[11]["score"] < 0.5
     assert toxicity.drop_toxic(df, model).columns == df.columns
@@ -349,3 +380,81 @@ def test_chat(spark):
     assert got[1, 4]["message"] == '{"content":"3","name":"add","role":"tool","tool_call_id":"c1"}' and got[1, 5]["linked"] is False
     assert got[2, 0]["message"] == '{"content":"","role":"user"}' and got[None, 1]["message"] == '{"content":"{not json","role":"assistant"}'
     assert chat_format.chat_messages(df.limit(0)).count() == 0
+
+
+def test_chat_with_repeated_turns_against_brute_force(spark):
+    """Random conversations with calls, results, repeated rows and turns, one of them very long."""
+    r, rows = random.Random(4), []
+    kinds = {"add": {"a": (int, True), "b": (float, False)}, "find": {"q": (str, True)}}
+    for conv in range(60):
+        for _ in range(400 if conv == 0 else r.randrange(1, 12)):
+            turn, roll = r.randrange(400 if conv == 0 else 8), r.random()
+            if roll < 0.35:
+                calls = [{"id": f"c{r.randrange(12)}", "name": r.choice(["add", "find", "none"]), "arguments": r.choice([{"a": 1}, {"a": 2, "b": 1.5}, {"b": 1.5}, {"q": "x"}, {"q": 3}, {"a": 1, "z": 1}, {}])} for _ in range(r.randrange(1, 4))]
+                rows.append((conv, turn, "assistant", json.dumps({"tool_calls": calls})))
+            elif roll < 0.7:
+                rows.append((conv, turn, "tool", json.dumps({"tool_call_id": f"c{r.randrange(14)}", "content": str(turn)})))
+            else:
+                rows.append((conv, turn, "user", f"text {r.randrange(3)}"))
+            if r.random() < 0.2:
+                rows.append(rows[-1])
+    schemas = spark.createDataFrame([(t, p, {int: "integer", float: "number", str: "string"}[k], need) for t, own in kinds.items() for p, (k, need) in own.items()], chat_format.SCHEMA)
+
+    def valid(c):
+        own, given = kinds.get(c["name"]), c["arguments"]
+        return own is not None and all(p in own and (isinstance(v, own[p][0]) or own[p][0] is float and isinstance(v, int)) for p, v in given.items()) and all(p in given for p, (_, need) in own.items() if need)
+
+    made, want = {}, []
+    for conv, turn, role, text in rows:
+        if role == "assistant":
+            for k, c in enumerate(json.loads(text)["tool_calls"]):
+                made.setdefault((conv, c["id"]), set()).add((turn, k))
+    for conv, turn, role, text in rows:
+        order, n_calls, n_invalid, linked = (turn, 0), 0, 0, None
+        if role == "assistant":
+            calls = json.loads(text)["tool_calls"]
+            n_calls, n_invalid = len(calls), sum(not valid(c) for c in calls)
+        if role == "tool":
+            at = min(made.get((conv, json.loads(text)["tool_call_id"]), ()), default=None)
+            linked = at is not None
+            order = (at[0], at[1] + 1) if linked and turn <= at[0] else order
+        want.append((conv, turn, role, *order, n_calls, n_invalid, str(linked)))
+    got = chat_format.chat_messages(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5), schemas).collect()
+    assert sorted((x["conv_id"], x["turn"], x["role"], x["order_turn"], x["order_rank"], x["n_calls"], x["n_invalid"], str(x["linked"])) for x in got) == sorted(want)
+    assert sum(w[5] > 0 for w in want) > 200 and sum(w[7] == "True" for w in want) > 150
+
+
+def awkward_strings(n, seed):
+    """Random strings of letters of several scripts, marks, signs, digits and spaces of all kinds."""
+    r, parts = random.Random(seed), ["a", "B", "the", "don't", "I'LL", "\u00e9", "e\u0301", "\u0130", "\u1e9e", "\u03a3", "\u4e2d", "\u0e01\u0e33", "\U0001f600", "12", "3.14", "...", ",", ".,", "-", "_", "\u2019", "\x00", "\u200d", " ", "  ", "\t", "\n", "\r\n", "\u00a0", "\u2028", "\u3000", "<|endoftext|>", "[UNK]", "</s>", "ing", "Token"]
+    return ["".join(r.choice(parts) for _ in range(r.randrange(0, 30))) for _ in range(n)]
+
+
+def test_encoders_equal_the_libraries_on_awkward_strings(spark):
+    import tiktoken
+    from tokenizers import Tokenizer
+
+    from reelspan.llm.tokenise import WordEncoder
+
+    texts = awkward_strings(4000, 8)
+    t = Tokenizer.from_file(WORD)
+    own = WordEncoder(".json", open(WORD, "rb").read())
+    assert own.by_word
+    for a, b in zip(own.ids(texts), t.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert np.frombuffer(a, "<u4").tolist() == b.ids
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(BYTE, "rb"))}
+    e = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    docs = spark.createDataFrame([(i % 3900, x) for i, x in enumerate(texts)], "doc_id long, text string").repartition(5)
+    got = byte_bpe.encode(docs, BYTE, public_tokenizers.PATTERN).collect()
+    assert sorted((x["doc_id"], x["ids"], bytes(x["decoded"])) for x in got) == sorted((i % 3900, e.encode_ordinary(x), x.encode()) for i, x in enumerate(texts))
+
+
+def test_scratch_tables_go_and_kept_ones_stay(spark):
+    from pathlib import Path
+
+    from reelspan.llm import runtime
+
+    with runtime.scratch_tables() as made:
+        gone = runtime.materialize(spark.range(5), "gone")
+        kept = made.keep(runtime.materialize(gone.withColumn("x", F.col("id") + 1), "kept"))
+    assert kept.count() == 5 and Path(kept._scratch_path).exists() and not Path(gone._scratch_path).exists()

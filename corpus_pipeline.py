@@ -4,7 +4,15 @@ left is packed into training sequences.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before it
 kept; all but the last return the columns of documents. Stages are written as
-Parquet below the shared folder and read again by the next.
+Parquet below the shared folder and read again by the next; what a stage has
+written for itself goes once its result stands.
+
+Null texts count as empty and are clean, unlike anything but one another (exact
+dedup keeps one of them). Rows that repeat an id are judged each by its own text;
+of equal rows all stay or go together. Rows with a null id are never dropped as
+copies, change nothing in others and are packed like any. Columns beside those
+of documents pass through unchanged, whatever their names; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -14,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelspan.llm import exact_dedup, near_dedup, packing, substring_dedup, toxicity
-from reelspan.llm.runtime import materialize
+from reelspan.llm.runtime import materialize, scratch_tables
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +45,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without passages of 50 words or more that a document with a smaller id holds."""
-    return substring_dedup.drop_repeated_passages(docs, window=50).withColumn("n_chars", F.length("text").cast("long"))
+    out = substring_dedup.drop_repeated_passages(docs, window=50)
+    return out.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars"))) if "n_chars" in docs.columns else out
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,5 +71,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; the last one's rows."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch_tables() as made:
+            docs = made.keep(materialize(stage(spark, docs, sf_dir), name.replace(" ", "-")))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -15,7 +15,9 @@ anchors wherever they stand. Documents are dealt out to blocks; then
 
 Each block sends an anchor or stretch once, with its least document, however
 many of its documents share it, so a passage of a third of all documents costs
-a shard one entry a block. The text itself is shuffled once.
+a shard one entry a block. Around such a passage every document has stretches
+of its own with the same anchor; those of hot anchors are dealt out window by
+window, since only equal windows need to meet. The text itself is shuffled once.
 """
 
 from __future__ import annotations
@@ -35,6 +37,10 @@ from .textkit import U64, Words, chunks, mix, sequences, words
 
 #: Estimated bytes of a block, and of the input for each shard.
 BLOCK_BYTES, SHARD_BYTES = 8 << 20, 4 << 20
+#: An anchor of more runs of windows than that is hot: its windows are dealt out one by one.
+HOT = 2000
+#: Phrases from which an automaton is compiled.
+PHRASES = 500
 #: Stands for no document.
 NONE = np.iinfo(np.int64).max
 _MESSAGE = "shard int, block int, data binary"
@@ -70,14 +76,14 @@ def _texts(table: pa.Table) -> Iterator[tuple[list, list[bytes]]]:
         yield [i for i, _ in part], [t for _, t in part]
 
 
-def _least_by(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys with the least and the largest of their documents."""
+def _by_key(keys: np.ndarray, low: np.ndarray, high: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct keys with the least and the largest of their documents and the sum of n."""
     order = np.argsort(keys, kind="stable")
-    keys, docs = keys[order], docs[order]
+    keys, low, high, n = keys[order], low[order], high[order], n[order]
     first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.empty(0, np.int64)
     if not len(first):
-        return keys, docs, docs
-    return keys[first], np.minimum.reduceat(docs, first), np.maximum.reduceat(docs, first)
+        return keys, low, high, n
+    return keys[first], np.minimum.reduceat(low, first), np.maximum.reduceat(high, first), np.add.reduceat(n, first)
 
 
 def _shards_of(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -88,7 +94,7 @@ def _ids(table: pa.Table) -> np.ndarray:
     return table.column("doc_id").fill_null(NONE).to_numpy()
 
 
-def _offer_anchors(window: int, shards: int):
+def _offer_anchors(window: int, shards: int, most: int):
     def run(table: pa.Table) -> pa.Table:
         ids, found = _ids(table), []
         for at, texts in _texts(table):
@@ -98,69 +104,84 @@ def _offer_anchors(window: int, shards: int):
             new = np.concatenate(([True], (least[1:] != least[:-1]) | ~whole[:-1])) if len(least) else whole
             pick = np.flatnonzero(new & whole)
             text = np.searchsorted(w.first, pick, side="right") - 1
-            found.append(_least_by(least[pick], ids[np.asarray(at)[text]]) if len(pick) else _least_by(least[pick], ids[:0]))
-        keys = np.concatenate([f[0] for f in found])
-        few = _least_by(np.concatenate([keys, keys]), np.concatenate([f[1] for f in found] + [f[2] for f in found]))
-        keys, low, high = few
+            own = ids[np.asarray(at, np.int64)[text]]
+            found.append(_by_key(least[pick], own, own, np.ones(len(own), np.int64)))
+        keys, low, high, n = _by_key(*map(np.concatenate, zip(*found, strict=True)))
         known = low != NONE  # documents without an id take no part
-        keys, low, high = keys[known], low[known], high[known]
+        keys, low, high, n = keys[known], low[known], high[known], n[known]
         shard = _shards_of(keys, shards)
         order = np.argsort(shard, kind="stable")
         cuts = np.flatnonzero(np.diff(shard[order], prepend=-1))
         own = np.split(order, cuts[1:]) if len(order) else []
         block = table.column("block")[0].as_py()
-        return pa.table({"shard": pa.array(shard[order][cuts], pa.int32()), "block": pa.array([block] * len(own), pa.int32()), "data": pa.array([_dump(keys[o], low[o].astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes(), low[o] != high[o]) for o in own], pa.binary())})
+        return pa.table({"shard": pa.array(shard[order][cuts], pa.int32()), "block": pa.array([block] * len(own), pa.int32()), "data": pa.array([_dump(keys[o], low[o].astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes(), low[o] != high[o], np.minimum(n[o], most + 1).astype("<u4")) for o in own], pa.binary())})
 
     return run
 
 
-def _shared_anchors(table: pa.Table) -> pa.Table:
-    """To each block of a shard, those of its anchors that at least two documents have."""
-    parts = []
-    for data in table.column("data"):
-        keys, low, several = _load(data)
-        parts.append((keys, np.ascontiguousarray(np.frombuffer(low, np.uint8).reshape(8, -1).T).reshape(-1).view("<i8"), several))
-    keys = np.concatenate([p[0] for p in parts])
-    several = np.concatenate([p[2] for p in parts])
-    distinct, low, high = _least_by(keys, np.concatenate([p[1] for p in parts]))
-    shared = np.union1d(distinct[low != high], keys[several])
-    answers = [p[0][np.isin(p[0], shared)] for p in parts]
-    keep = [i for i, a in enumerate(answers) if len(a)]
-    blocks = table.column("block").to_pylist()
-    return pa.table({"block": pa.array([blocks[i] for i in keep], pa.int32()), "data": pa.array([_dump(answers[i]) for i in keep], pa.binary())})
-
-
-def _stretches(table: pa.Table, shared: np.ndarray, window: int) -> Iterator[tuple]:
-    """Maximal runs of windows of one document with the same shared anchor: place in
-    the table, anchor, first window, windows, the words in between."""
+def _shared_anchors(most: int):
+    """To each block of a shard, those of its anchors that at least two documents have,
+    and which of them are hot: with more than ``most`` runs of windows."""
+
+    def run(table: pa.Table) -> pa.Table:
+        parts = []
+        for data in table.column("data"):
+            keys, low, several, n = _load(data)
+            parts.append((keys, np.ascontiguousarray(np.frombuffer(low, np.uint8).reshape(8, -1).T).reshape(-1).view("<i8"), several, n))
+        keys, low, several, n = map(np.concatenate, zip(*parts, strict=True))
+        distinct, least, largest, times = _by_key(keys, low, low, n.astype(np.int64))
+        shared = np.union1d(distinct[least != largest], keys[several])
+        hot = distinct[times > most]
+        answers = [p[0][np.isin(p[0], shared)] for p in parts]
+        keep = [i for i, a in enumerate(answers) if len(a)]
+        blocks = table.column("block").to_pylist()
+        return pa.table({"block": pa.array([blocks[i] for i in keep], pa.int32()), "data": pa.array([_dump(answers[i], np.isin(answers[i], hot)) for i in keep], pa.binary())})
+
+    return run
+
+
+def _stretches(table: pa.Table, shared: np.ndarray, hot: np.ndarray, window: int) -> Iterator[tuple]:
+    """Maximal runs of windows of one document with the same shared anchor, or of a hot
+    anchor its windows one by one: place in the table, key, first window, windows, the
+    words in between. The key is the anchor, or a hash of a hot anchor's window."""
     for at, texts in _texts(table):
         w = words(texts)
         least, whole = anchors(w, window)
+        if not len(shared) or not len(least):
+            continue
         place = np.searchsorted(shared, least)
         place[place == len(shared)] = 0
-        hit = whole & (shared[place] == least) if len(shared) else np.zeros(len(least), bool)
-        starts = np.flatnonzero(hit & np.concatenate(([True], ~hit[:-1] | (least[1:] != least[:-1])))) if len(hit) else []
-        ends = np.flatnonzero(hit & np.concatenate(((~hit[1:] | (least[1:] != least[:-1])), [True]))) if len(hit) else []
-        text = np.searchsorted(w.first, starts, side="right") - 1 if len(starts) else []
+        hit = whole & (shared[place] == least)
+        alone = hit & hot[place]
+        apart = least[1:] != least[:-1]
+        starts = np.flatnonzero(hit & np.concatenate(([True], ~hit[:-1] | apart | alone[1:])))
+        ends = np.flatnonzero(hit & np.concatenate((~hit[1:] | apart | alone[:-1], [True])))
+        text = np.searchsorted(w.first, starts, side="right") - 1
         for s, e, t in zip(starts, ends, text, strict=True):
-            raw = w.buffer[w.start[s] : w.end[e + window - 1]]
-            yield at[t], int(least[s]), int(s - w.first[t]), int(e - s + 1), b" ".join(raw.split())
+            raw = b" ".join(w.buffer[w.start[s] : w.end[e + window - 1]].split())
+            key = int.from_bytes(hash_of(raw)[:8], "little") if alone[s] else int(least[s])
+            yield at[t], key, int(s - w.first[t]), int(e - s + 1), raw
 
 
 def _answered(table: pa.Table) -> list[tuple]:
     return [_load(d) for d in table.column("data")]
 
 
-def _shared_of(answers: list[tuple]) -> np.ndarray:
-    return np.sort(np.concatenate([a[0] for a in answers])) if answers else np.empty(0, U64)
+def _shared_of(answers: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
+    """A block's shared anchors in order, and whether each is hot."""
+    if not answers:
+        return np.empty(0, U64), np.empty(0, bool)
+    shared, hot = (np.concatenate([a[i] for a in answers]) for i in range(2))
+    order = np.argsort(shared)
+    return shared[order], hot[order]
 
 
 def _offer_stretches(window: int, shards: int):
     def run(table: pa.Table, right: pa.Table) -> pa.Table:
-        shared = _shared_of(_answered(right))
+        shared, hot = _shared_of(_answered(right))
         ids, held = _ids(table), {}
         if len(shared):
-            for at, anchor, _, _, raw in _stretches(table, shared, window):
+            for at, anchor, _, _, raw in _stretches(table, shared, hot, window):
                 doc = int(ids[at])
                 if doc != NONE:
                     own = held.setdefault(anchor % shards, {})
@@ -190,49 +211,57 @@ def _locate_phrases(window: int):
                     total[raw] = (doc, many)
                 else:
                     total[raw] = (min(doc, old[0]), many or old[1] or doc != old[0])
+        found: dict[bytes, np.ndarray] = {}
         number: dict[bytes, int] = {}
+        confirmed: dict[tuple, int] = {}
+        streams: dict[bytes, tuple] = {}
 
         def coded(raw: bytes) -> tuple:
             return tuple([number.setdefault(x, len(number)) for x in raw.split()])
 
-        # Equal windows have equal anchors, so phrases are confirmed anchor by anchor. Where all
-        # its stretches are the same, that one is a phrase; else each window of two documents is.
-        confirmed: dict[tuple, int] = {}
-        streams: dict[bytes, tuple] = {}
-        for raws in groups.values():
-            if len(raws) == 1:
-                doc, many = total[raws[0]]
-                if many:
-                    ids = streams[raws[0]] = coded(raws[0])
-                    confirmed[ids] = doc
-                continue
-            seen: dict[tuple, tuple[int, bool]] = {}
-            for raw in raws:
-                doc, many = total[raw]
-                ids = streams[raw] = coded(raw)
-                for i in range(len(ids) - window + 1):
-                    phrase = ids[i : i + window]
-                    old = seen.get(phrase)
-                    seen[phrase] = (doc, many) if old is None else (min(doc, old[0]), many or old[1] or doc != old[0])
-            confirmed.update((phrase, doc) for phrase, (doc, many) in seen.items() if many)
-        found: dict[bytes, np.ndarray] = {}
-        if confirmed:
+        def stream() -> None:
+            """Compile the confirmed phrases and locate them in their anchors' stretches."""
             automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
             least, length = list(confirmed.values()), list(map(len, confirmed))
             for i, phrase in enumerate(confirmed):
                 automaton.add_word(phrase, i)
-            del confirmed
             automaton.make_automaton()
             for raw, ids in streams.items():
                 own = None
                 for end, which in automaton.iter(ids):
                     if own is None:
                         own = np.full(len(ids) - window + 1, NONE, np.int64)
-                    first = end - length[which] + 1
-                    part = own[first : end - window + 2]
+                    part = own[end - length[which] + 1 : end - window + 2]
                     np.minimum(part, least[which], out=part)
                 if own is not None:
                     found[raw] = own
+            for held in (number, confirmed, streams):
+                held.clear()
+
+        # Equal windows have equal anchors, so phrases are confirmed anchor by anchor. Where all
+        # its stretches are the same, that one is a phrase; else each window of two documents is.
+        for raws in groups.values():
+            if len(raws) == 1:
+                doc, many = total[raws[0]]
+                if many:
+                    ids = streams[raws[0]] = coded(raws[0])
+                    confirmed[ids] = doc
+            else:
+                seen: dict[tuple, tuple[int, bool]] = {}
+                for raw in raws:
+                    doc, many = total[raw]
+                    ids = streams[raw] = coded(raw)
+                    for i in range(len(ids) - window + 1):
+                        phrase = ids[i : i + window]
+                        old = seen.get(phrase)
+                        seen[phrase] = (doc, many) if old is None else (min(doc, old[0]), many or old[1] or doc != old[0])
+                confirmed.update((phrase, doc) for phrase, (doc, many) in seen.items() if many)
+            # an automaton looks a word up among all that follow a place, so many small ones
+            # are built sooner than a large one
+            if len(confirmed) >= PHRASES:
+                stream()
+        if confirmed:
+            stream()
         blocks, out = [], []
         for block, (raws, *_) in zip(table.column("block").to_pylist(), asked, strict=True):
             if own := {raw: found[raw] for raw in raws if raw in found}:
@@ -254,7 +283,7 @@ def _remove(window: int):
     def run(table: pa.Table, right: pa.Table) -> pa.Table:
         which = right.column("which").to_pylist()
         answers = _answered(right)
-        shared = _shared_of([a for a, k in zip(answers, which, strict=True) if k == 0])
+        shared, hot = _shared_of([a for a, k in zip(answers, which, strict=True) if k == 0])
         least: dict[bytes, np.ndarray] = {}
         for (names, lengths, data), k in ((a, k) for a, k in zip(answers, which, strict=True) if k == 1):
             flat, ends = np.frombuffer(data, "<i8"), np.cumsum(lengths)
@@ -262,7 +291,7 @@ def _remove(window: int):
         ids = _ids(table)
         starts: dict[int, list[np.ndarray]] = {}
         if least:
-            for at, _, first, _, raw in _stretches(table, shared, window):
+            for at, _, first, _, raw in _stretches(table, shared, hot, window):
                 if (own := least.get(hash_of(raw))) is not None and ids[at] != NONE:
                     hit = np.flatnonzero(own < ids[at])
                     if len(hit):
@@ -296,8 +325,8 @@ def _judged(docs: DataFrame, window: int, id_col: str, text_col: str) -> DataFra
     # one shuffle of the text, read three times
     dealt = source.withColumn("block", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(blocks)).cast("int")).repartition(partitions(blocks), "block")
     by_block = dealt.groupBy("block")
-    offered = by_block.applyInArrow(_offer_anchors(window, shards), _MESSAGE)
-    shared = offered.repartition(partitions(shards), "shard").groupBy("shard").applyInArrow(_shared_anchors, _ANSWER)
+    offered = by_block.applyInArrow(_offer_anchors(window, shards, HOT), _MESSAGE)
+    shared = offered.repartition(partitions(shards), "shard").groupBy("shard").applyInArrow(_shared_anchors(HOT), _ANSWER)
     stretches = by_block.cogroup(shared.groupBy("block")).applyInArrow(_offer_stretches(window, shards), _MESSAGE)
     located = stretches.repartition(partitions(shards), "shard").groupBy("shard").applyInArrow(_locate_phrases(window), _ANSWER)
     answers = shared.withColumn("which", F.lit(0)).unionByName(located.withColumn("which", F.lit(1)))

@@ -63,7 +63,9 @@ def test_misra_gries_finds_every_heavy_digest(spark):
     assert got == {"h1": 400, "h2": 250}
 
 
-def test_substring(spark):
+@pytest.mark.parametrize("hot", [substring_dedup.HOT, 1])
+def test_substring(spark, monkeypatch, hot):
+    monkeypatch.setattr(substring_dedup, "HOT", hot)
     df, rows = awkward(spark)
     for window in (5, 13):
         first, got = {}, {r["doc_id"]: r for r in substring_dedup.repeated_passages(df, window).collect()}

@@ -7,25 +7,29 @@ its own text (content) and that of the sequence of elements below it
 (presentation). A block's importance is its node's content entropy, halved where
 no node from its branch down varies in presentation. What an element is called
 (menu, footer, advert), and whether a block lies within or beside the page's
-article or main part, are evidence that is added to the importance; a page's
-text is that of its blocks which are left at ``IMPORTANCE`` or more.
+article or main part, are evidence that is added to the importance, the latter
+as far as the page's text lies in that part; a page's text is that of its blocks
+which are left at ``IMPORTANCE`` or more. Each page is parsed once, in time that
+grows with its length whatever its depth: a node is named by a 64-bit hash of its
+path, made from its parent's.
 """
 
 from __future__ import annotations
 
-import hashlib
 import html
 import math
 import re
-import zlib
+from collections import Counter
 from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
 from .runtime import materialize
+from .textkit import chunks
 
 #: Blocks below this importance go; a node starts with the importance PRIOR, as if WEIGHT pages had told so.
 IMPORTANCE, PRIOR, WEIGHT = 0.3, 0.5, 3
@@ -40,30 +44,58 @@ _UNSEEN = frozenset("head script style noscript iframe template svg math object
 _ASIDE = frozenset("nav header footer aside form menu dialog".split())
 #: Words of a class, id or role that name other parts than the article.
 _NAMES = frozenset("ad ads adv advert advertisement advertising adverts banner banners breadcrumb breadcrumbs comment comments consent cookie cookies copyright disclaimer disqus footer header login masthead menu menus nav navbar navigation newsletter notice notices pagination popup promo promos promoted promotion related recommended reply replies respond rail share sharing sidebar sidebars signup skip social sponsor sponsored sponsors subscribe subscription toolbar topbar widget widgets".split())
+#: Words that say of a part where or how it stands: before them comes what it is.
+_PLACES = frozenset("area bar block bottom box button buttons column container content form group heading holder icon icons inner item items left link links list main module outer page panel post posts primary region right row secondary section site slot stories story text title top unit wide wrap wrapper zone".split())
+#: Words before ``header`` that make it an article's own.
+_OWN = frozenset("article entry post story content".split())
 _CLOSES_P = _BLOCK - {"option", "optgroup", "caption", "tbody", "td", "tfoot", "th", "thead", "tr", "body", "html", "title", "legend", "summary"}
 #: Elements that end an open one of the same family, up to the family's container.
 _ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 _MAIN = frozenset(("article", "main"))
-_TOKEN = re.compile(r"<!--.*?(?:-->|--!>|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.DOTALL)
+# a quoted value ends where more attributes or the tag's end follow, else the quote was left open
+_TOKEN = re.compile(r"<!--.*?(?:-->|--!>|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]+|=\s*\"[^\"]{0,100000}\"(?=[\s/>])|=\s*'[^']{0,100000}'(?=[\s/>])|=)*)(?:>|\Z)", re.DOTALL)
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
 _SPACE = re.compile(r"\s+")
 
 
+class Place:
+    """A node of a page: hash of its path, its parent's, how its branch stands to the
+    parent's (``GOES_ON``, ``STARTS`` a branch, lies ``ABOVE`` branches), and the looks
+    of the children of each element there."""
+
+    __slots__ = ("path", "parent", "branch", "looks")
+
+    def __init__(self, path: int, parent: int, branch: int):
+        self.path, self.parent, self.branch, self.looks = path, parent, branch, []
+
+
+GOES_ON, STARTS, ABOVE = range(3)
+
+
 class Node:
-    """An open element: its path, whether its text is unseen, whether it is named as
-    another part than the article or within it, the length of the path above its
-    branch, and the looks of its children."""
+    """An open element: its place's path, whether its text is unseen, whether it is named
+    as another part than the article or within it, and the looks of its children."""
 
-    __slots__ = ("tag", "path", "unseen", "named", "main", "above", "looks")
+    __slots__ = ("tag", "path", "unseen", "named", "main", "looks")
 
-    def __init__(self, tag: str, path: str, unseen: bool, named: bool, main: bool, above: int, looks: list[str]):
-        self.tag, self.path, self.unseen, self.named, self.main, self.above, self.looks = tag, path, unseen, named, main, above, looks
+    def __init__(self, tag: str, path: int, unseen: bool, named: bool, main: bool, looks: list[str]):
+        self.tag, self.path, self.unseen, self.named, self.main, self.looks = tag, path, unseen, named, main, looks
 
     @property
     def kind(self) -> tuple[bool, bool, bool]:
         return self.unseen, self.named, self.main
 
 
+def _told(name: str) -> bool:
+    """Whether a class, id or role says that its element is another part than the article:
+    its last word that isn't about place does (related-posts, site-footer, share-buttons,
+    but not social-history or article-header)."""
+    parts = [w for w in re.split(r"[^a-z]+", re.sub(r"\d+", "", name)) if w]
+    while len(parts) > 1 and parts[-1] in _PLACES:
+        parts.pop()
+    return bool(parts) and parts[-1] in _NAMES and not (parts[-1] == "header" and len(parts) > 1 and parts[-2] in _OWN)
+
+
 def _look(tag: str, attributes: str) -> tuple[str, bool, bool]:
     """An element's look, whether its text is unseen, and whether it is named as another
     part than the article."""
@@ -74,22 +106,22 @@ def _look(tag: str, attributes: str) -> tuple[str, bool, bool]:
             if key == "hidden" or key == "aria-hidden":
                 hidden |= key == "hidden" or value == "true"
             else:
-                names += re.split(r"[^a-z]+", re.sub(r"\d+", "", value))
-    words = [w for w in names if w]
+                names += value.split()
+    words = {w for n in names for w in re.split(r"[^a-z]+", re.sub(r"\d+", "", n)) if w}
     own = tag not in ("html", "body", "article", "main")
-    named = tag in _ASIDE or own and any(w in _NAMES for w in words)
-    return tag + "".join(f".{w}" for w in sorted(set(words))), tag in _UNSEEN or own and hidden, named
+    named = tag in _ASIDE or own and any(map(_told, names))
+    return tag + "".join(f".{w}" for w in sorted(words)), tag in _UNSEEN or own and hidden, named
 
 
-def parse(page: str | None) -> tuple[list[tuple[str, str, bool, bool, int]], dict[str, list[list[str]]]]:
+def parse(page: str | None) -> tuple[list[tuple[int, str, bool, bool]], dict[int, Place]]:
     """Blocks of text in page order: path, text, whether named as another part than the
-    article, whether inside an article or main part, length of the path above its
-    branch; and of every path the looks of its children, for each element there.
-    White space in a block is one space; blocks without text and unseen parts are
-    left out."""
-    out: list[tuple[str, str, bool, bool, int]] = []
-    presentation: dict[str, list[list[str]]] = {}
-    stack = [Node("", "", False, False, False, 0, [])]
+    article, whether inside an article or main part; and the seen nodes by path, a
+    parent before its children. White space in a block is one space; blocks without
+    text and unseen parts are left out."""
+    out: list[tuple[int, str, bool, bool]] = []
+    places: dict[int, Place] = {}
+    stack = [Node("", 0, False, False, False, [])]
+    opened: Counter[str] = Counter()
     held: list[str] = []
     at: Node | None = None
 
@@ -97,7 +129,7 @@ def parse(page: str | None) -> tuple[list[tuple[str, str, bool, bool, int]], dic
         if held:
             text = _SPACE.sub(" ", html.unescape("".join(held))).strip()
             if text and not at.unseen:
-                out.append((at.path, text, at.named, at.main, at.above))
+                out.append((at.path, text, at.named, at.main))
             held.clear()
 
     def take(text: str) -> None:
@@ -113,8 +145,13 @@ def parse(page: str | None) -> tuple[list[tuple[str, str, bool, bool, int]], dic
     def close(n: int) -> None:
         if any(x.tag in _BLOCK or x.unseen or x.named for x in stack[n:]):
             flush()
+        opened.subtract(x.tag for x in stack[n:])
         del stack[n:]
 
+    def innermost(tag: str) -> int:
+        """Where the last open element of a tag stands; 0 for none."""
+        return next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0) if opened[tag] else 0
+
     page = page or ""
     place, limit = 0, len(page)
     while place < limit:
@@ -131,7 +168,7 @@ def parse(page: str | None) -> tuple[list[tuple[str, str, bool, bool, int]], dic
         if m[1]:
             if tag == "br":
                 take(" ")
-            n = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
+            n = innermost(tag)
             if n:
                 close(n)
             elif tag == "p":
@@ -141,12 +178,12 @@ def parse(page: str | None) -> tuple[list[tuple[str, str, bool, bool, int]], dic
             take(" " if tag == "br" else "")
             continue
         if tag in _CLOSES_P:
-            n = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p"), 0)
+            n = innermost("p")
             if n:
                 close(n)
         if tag in _ENDS:
             family, holds = _ENDS[tag]
-            for i in range(len(stack) - 1, 0, -1):
+            for i in range(len(stack) - 1, 0, -1) if any(opened[t] for t in family) else ():
                 if stack[i].tag in holds:
                     break
                 if stack[i].tag in family:
@@ -174,14 +211,16 @@ def parse(page: str | None) -> tuple[list[tuple[str, str, bool, bool, int]], dic
         main = parent.main or tag in _MAIN or tag == "div" and "main" in look.split(".")[1:]
         path, looks = parent.path, parent.looks
         if tag in _BLOCK or named:
-            path, looks = f"{path}>{look}", []
+            path, looks = xxhash.xxh3_64_intdigest(f"{parent.path:x}>{look}") >> 1, []
             if not (parent.unseen or unseen):
-                presentation.setdefault(path, []).append(looks)
-        # a branch begins below the body, and anew at a name
-        above = len(path) if tag in ("html", "body") else len(parent.path) if named and not parent.named else parent.above
-        stack.append(Node(tag, path, parent.unseen or unseen, parent.named or named, main, above, looks))
+                # a branch begins below the body, and anew at a name
+                if path not in places:
+                    places[path] = Place(path, parent.path, ABOVE if tag in ("html", "body") else STARTS if named and not parent.named else GOES_ON)
+                places[path].looks.append(looks)
+        opened[tag] += 1
+        stack.append(Node(tag, path, parent.unseen or unseen, parent.named or named, main, looks))
     flush()
-    return out, presentation
+    return out, places
 
 
 def host_of(url: str | None) -> str:
@@ -190,26 +229,43 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
-def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each page, its nodes: host, path, a hash of the page, whether the value is of
-    the text or of the looks below, and its hash."""
+_PARSED = "host string, page long, blocks array<struct<path: long, text: string, named: boolean, main: boolean>>, nodes array<struct<path: long, parent: long, branch: int, content: long, presentation: long>>"
+
+
+def _hash(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text) >> 1
+
+
+def _parse_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each page (url, html and what goes with it) as its host, a hash of it, its blocks and
+    its nodes with hashes of their text and of the looks below."""
+    kinds = [pa.list_(pa.struct([("path", pa.int64()), ("text", pa.string()), ("named", pa.bool_()), ("main", pa.bool_())])), pa.list_(pa.struct([("path", pa.int64()), ("parent", pa.int64()), ("branch", pa.int32()), ("content", pa.int64()), ("presentation", pa.int64())]))]
     for batch in batches:
-        rows = []
-        for url, page in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            page = page.as_py()
-            found, presentation = parse(page)
-            own: dict[str, list[str]] = {}
-            for path, text, *_ in found:
-                own.setdefault(path, []).append(text)
-            host, whole = host_of(url), int.from_bytes(hashlib.blake2b((page or "").encode(), digest_size=8).digest(), "big", signed=True)
-            rows += [(host, path, whole, True, zlib.crc32("\n".join(texts).encode())) for path, texts in own.items()]
-            rows += [(host, path, whole, False, zlib.crc32("|".join(map(",".join, looks)).encode())) for path, looks in presentation.items()]
-        columns = zip(*rows, strict=True) if rows else ((), (), (), (), ())
-        kinds = (pa.string(), pa.string(), pa.int64(), pa.bool_(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["host", "path", "page", "is_content", "value"])
-
-
-def style_trees(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+        for own in chunks(zip(batch.column("url").to_pylist(), batch.column("html"), range(len(batch)), strict=True), lambda r: 1 + (r[1].as_buffer().size if r[1].is_valid else 0), limit=4 << 20):
+            rows = []
+            for url, page, _ in own:
+                page = page.as_py() or ""
+                blocks, places = parse(page)
+                texts: dict[int, list[str]] = {}
+                for path, text, *_ in blocks:
+                    texts.setdefault(path, []).append(text)
+                nodes = [(p.path, p.parent, p.branch, _hash("\n".join(texts[p.path])) if p.path in texts else None, _hash("|".join(map(",".join, p.looks)))) for p in places.values()]
+                # text outside any element, or in named inline ones, has a path without a place
+                nodes += [(path, 0, ABOVE, _hash("\n".join(t)), None) for path, t in texts.items() if path not in places]
+                rows.append((host_of(url), _hash(page), blocks, nodes))
+            columns = list(zip(*rows, strict=True))
+            rest = batch.slice(own[0][2], len(own)).drop_columns(["html"])
+            yield pa.RecordBatch.from_arrays([*rest.columns, pa.array(columns[0]), pa.array(columns[1], pa.int64()), pa.array(columns[2], kinds[0]), pa.array(columns[3], kinds[1])], [*rest.schema.names, "host", "page", "blocks", "nodes"])
+
+
+def parsed_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """page_id, url, host, page (a hash), blocks and nodes of each row."""
+    ship_package(pages.sparkSession)
+    source = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("html"))
+    return source.mapInArrow(_parse_pages, f"page_id {source.schema['page_id'].dataType.simpleString()}, url string, {_PARSED}")
+
+
+def style_trees(parsed: DataFrame) -> DataFrame:
     """(host, path, pages, content, presentation) of the nodes of every host: on how many
     distinct pages, and the two relative entropies (``importance``).
 
@@ -217,8 +273,9 @@ def style_trees(pages: DataFrame, url_col: str = "url", html_col: str = "html")
     before hosts are put together, so a host with a third of all pages costs a task
     one row per node and distinct value it has seen.
     """
-    ship_package(pages.sparkSession)
-    seen = pages.select(url_col, html_col).mapInArrow(_nodes, "host string, path string, page long, is_content boolean, value long")
+    each = parsed.select("host", "page", F.explode("nodes").alias("node"))
+    values = F.array(F.struct(F.lit(True).alias("is_content"), F.col("node.content").alias("value")), F.struct(F.lit(False).alias("is_content"), F.col("node.presentation").alias("value")))
+    seen = each.select("host", "page", F.col("node.path").alias("path"), F.explode(F.filter(values, lambda v: v["value"].isNotNull())).alias("v")).select("host", "page", "path", "v.*")
     counts = seen.distinct().groupBy("host", "path", "is_content", "value").agg(F.count("*").alias("n"))
     node = counts.groupBy("host", "path", "is_content").agg(F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("s"))
     entropy = F.when(F.col("pages") < 2, 1.0).otherwise(1 - F.col("s") / F.col("pages") / F.log(F.greatest("pages", F.lit(2))))
@@ -227,62 +284,78 @@ def style_trees(pages: DataFrame, url_col: str = "url", html_col: str = "html")
 
 
 #: Nodes by path: pages, content, presentation.
-Tree = Mapping[str, tuple[int, float | None, float | None]]
+Tree = Mapping[int, tuple[int, float | None, float | None]]
+_UNKNOWN = (0, None, None)
 
 
-def block_importance(tree: Tree, path: str, above: int) -> float:
-    """The importance of a node's text on its site, from its branch down."""
-    pages, content, _ = tree.get(path, (0, None, None))
+def node_importance(pages: int, content: float | None, varied: float) -> float:
+    """The importance of a node's text on its site: of its content entropy, and the largest
+    presentation entropy from its branch down."""
     if content is None:
         return PRIOR
-    varied, at = 0.0, path
-    while len(at) > above:
-        varied = max(varied, tree.get(at, (0, None, None))[2] or 0.0)
-        at = at.rpartition(">")[0]
     # one page alone tells nothing; the more there are, the less the prior counts
     return (content * (1 + varied) / 2 * (pages - 1) + PRIOR * WEIGHT) / (pages - 1 + WEIGHT)
 
 
-def main_text(page: str | None, tree: Tree | None = None) -> str:
-    """A page's main text, its blocks joined by line feeds."""
-    found, _ = parse(page)
-    marked = any(main and not named for _, _, named, main, _ in found)
+def page_text(blocks: list[tuple[int, str, bool, bool]], nodes: list[tuple[int, int, int]], tree: Tree) -> str:
+    """A page's main text by its blocks, its nodes (path, parent, branch) and its site's tree."""
+    varied: dict[int, float] = {}
+    for path, parent, branch in nodes:
+        own = tree.get(path, _UNKNOWN)[2] or 0.0
+        varied[path] = 0.0 if branch == ABOVE else own if branch == STARTS else max(own, varied.get(parent, 0.0))
+    within = sum(len(text) for _, text, named, main in blocks if main and not named)
+    seen = sum(len(text) for _, text, named, _ in blocks if not named)
+    # a mark that holds little of the text tells little of the rest
+    mark = min(1.0, 2 * within / seen) if seen else 0.0
     kept = []
-    for path, text, named, main, above in found:
-        beside = marked and not main
-        evidence = BOTH if named and beside else NAMED if named else BESIDE if beside else WITHIN if main else 0.0
-        if block_importance(tree or {}, path, above) + evidence >= IMPORTANCE:
+    for path, text, named, main in blocks:
+        evidence = WITHIN if main and not named else 0.0
+        if within and not main:
+            evidence = mark * BESIDE if not named else NAMED + mark * (BOTH - NAMED)
+        elif named:
+            evidence = NAMED
+        pages, content, _ = tree.get(path, _UNKNOWN)
+        if node_importance(pages, content, varied.get(path, 0.0)) + evidence >= IMPORTANCE:
             kept.append(text)
     return "\n".join(kept)
 
 
+def main_text(page: str | None) -> str:
+    """A single page's main text, its blocks joined by line feeds."""
+    blocks, places = parse(page)
+    return page_text(blocks, [(p.path, p.parent, p.branch) for p in places.values()], {})
+
+
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per input row: page_id, url, text.
 
     Null or empty html gives an empty text, a null url counts as a host of its
     own kind, repeated rows keep a row each, other columns are ignored and an
-    empty table gives an empty result. Pages of any length are read whole.
+    empty table gives an empty result. Pages of any length and depth are read
+    whole.
     """
+    parsed = materialize(parsed_pages(pages, id_col, url_col, html_col), "parsed-pages")
     # what a single page shows has the prior's importance, as what no page has shown
-    nodes = materialize(style_trees(pages, url_col, html_col).filter("pages > 1"), "style-trees")
+    nodes = materialize(style_trees(parsed).filter("pages > 1"), "style-trees")
     # nodes of a host: as many as its templates have, whatever its pages
     by_host = nodes.groupBy(F.col("host").alias("_host")).agg(F.collect_list(F.struct("path", "pages", "content", "presentation")).alias("_tree"))
-    host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^\s*(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?//(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    source = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host.alias("_host"))
-    marked = source.join(by_host, "_host", "left").select("page_id", "url", "html", "_host", "_tree")
+    marked = parsed.join(by_host, F.col("host") == F.col("_host"), "left").select("page_id", "url", "host", "blocks", F.transform("nodes", lambda n: F.struct(n["path"], n["parent"], n["branch"])).alias("nodes"), "_tree")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             trees: dict[str, Tree] = {}
             text = []
-            for h, name, nodes in zip(batch.column("html"), batch.column("_host").to_pylist(), batch.column("_tree"), strict=True):
-                if name not in trees:
-                    trees[name] = {n["path"]: (n["pages"], n["content"], n["presentation"]) for n in nodes.as_py() or ()}
-                text.append(main_text(h.as_py(), trees[name]))
+            for blocks, own, host, tree in zip(batch.column("blocks"), batch.column("nodes"), batch.column("host").to_pylist(), batch.column("_tree"), strict=True):
+                if host not in trees:
+                    trees[host] = {n["path"]: (n["pages"], n["content"], n["presentation"]) for n in tree.as_py() or ()}
+                text.append(page_text(_tuples(blocks.values), _tuples(own.values), trees[host]))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(text, pa.string())], ["page_id", "url", "text"])
 
-    kind = pages.schema[id_col].dataType.simpleString()
-    return marked.mapInArrow(run, f"page_id {kind}, url string, text string")
+    return marked.mapInArrow(run, f"page_id {parsed.schema['page_id'].dataType.simpleString()}, url string, text string")
+
+
+def _tuples(rows: pa.StructArray) -> list[tuple]:
+    return list(zip(*(c.to_pylist() for c in rows.flatten()), strict=True))
 
 
 def importance(contents: list[int]) -> float:

@@ -363,10 +363,62 @@ def test_all_words_of_a_look_and_small_sites_count(spark):
     for n in (2, 5, 7, 8):
         got = site(spark, lambda i, r: f"<body><div class=x>Story {i}</div><div class=y>Same line</div></body>", n)
         assert all(lines == [f"Story {i}", *["Same line"] * (n == 2)] for i, lines in got.items())
-    same = [html_extract.block_importance({"a": (n, 0.0, 0.0)}, "a", 0) for n in range(1, 40)]
+    same = [html_extract.node_importance(n, 0.0, 0.0) for n in range(1, 40)]
     assert same[0] == html_extract.PRIOR and all(0 < x - y < 0.13 for x, y in zip(same, same[1:], strict=False))
 
 
+def test_names_marks_and_broken_markup():
+    text = html_extract.main_text
+    # a name tells what a part is by its last word that isn't about place
+    assert text('<div class="social-history"><p>x</p></div><p id="post-share-price">y</p>') == "x\ny"
+    for name in ("related-posts", "site-footer", "share-buttons", "top-ad", "ad-slot-3", "comment-list", "cookie-notice", "newsletter-signup", "sidebar left"):
+        assert text(f'<p>z</p><div class="{name}">x</div>') == "z", name
+    # a teaser that is marked as the article does not take the place of the text beside it
+    story = "long text here " * 30
+    assert text(f"<body><article><p>Teaser</p></article><div>{story}</div></body>") == f"Teaser\n{story.strip()}"
+    assert text(f"<body><article><p>{story}</p></article><div>beside</div></body>") == story.strip()
+    # quotes left open, and signs within quotes
+    assert text('<p class="a>text</p><p class="b">more</p>') == "text\nmore"
+    assert text('<p title="a > b">t</p><p title=don\'t>u</p>') == "t\nu"
+
+
+def test_planted_text_is_kept_and_noise_removed(spark):
+    """Words of articles kept, and of menus, adverts, notices and comments removed, on sites of
+    different markup, by host."""
+    def page(i, r):
+        body = [f"word{i}x{k} " * r.randrange(5, 30) for k in range(r.randrange(2, 8))]
+        noise = [f"noise{i}x{k} " * r.randrange(2, 9) for k in range(5)]
+        paragraphs = "".join(r.choice(["<p>{}</p>", "<p>{}", "<ul><li>{}</ul>", "<h2>{}</h2>"]).format(b) for b in body)
+        kind = i % 3
+        if kind == 0:
+            h = f"<body><nav>{noise[0]}</nav><article>{paragraphs}<aside>{noise[1]}</aside></article><footer>{noise[2]}</footer></body>"
+        elif kind == 1:
+            h = f"<body><div class='top-menu'>{noise[0]}</div><div class=story><div>{paragraphs}</div></div><div id=comments><p>{noise[1]}</p></div><div>Always the same line</div></body>"
+        else:
+            h = f"<body><header>{noise[0]}</header><main><form>{noise[1]}</form>{paragraphs}</main><div class='ad-slot'>{noise[2]}</div><div class='cookie-notice'>Always</div></body>"
+        return (i, f"https://site{kind}.example/{i}", h), sum(map(len, map(str.split, body)))
+
+    made = [page(i, random.Random(i)) for i in range(240)]
+    got = {r["page_id"]: r["text"].split() for r in html_extract.extract(spark.createDataFrame([m[0] for m in made], "page_id long, url string, html string").repartition(6)).collect()}
+    kept = sum(w.startswith("word") for t in got.values() for w in t)
+    assert kept == sum(n for _, n in made) and kept == sum(map(len, got.values()))
+
+
+def test_pages_of_any_depth_and_length(spark):
+    import time
+
+    took = []
+    for n in (4000, 16000):
+        began = time.perf_counter()
+        assert html_extract.main_text("<div>" * n + "x" + "</div>" * n) == "x"
+        took.append(time.perf_counter() - began)
+    assert took[1] < 12 * took[0]  # four times the depth, in about four times the time
+    deep = "<div><p>a" * 3000
+    rows = [(1, "http://h.example", deep), (1, "http://h.example", deep), (2, "http://h.example", "<p>" + "word " * 200_000)]
+    got = html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted((r["page_id"], len(r["text"].split())) for r in got) == [(1, 3000), (1, 3000), (2, 200_000)]
+
+
 def test_chat(spark):
     call = '{"tool_calls":[{"id":"c1","name":"add","arguments":{"b":2,"a":1}},{"id":"c2","name":"add","arguments":"{\\"a\\":\\"x\\"}"},{"id":"c3","name":"none","arguments":{}}]}'
     rows = [(1, 0, "user", 'say "hi"\n\u00e9'), (1, 2, "tool", '{"tool_call_id":"c2","content":"early"}'), (1, 3, "assistant", call), (1, 4, "tool", '{"tool_call_id":"c1","content":"3"}'), (1, 5, "tool", '{"tool_call_id":"zz"}'), (2, 0, None, None), (None, 1, "assistant", "{not json")]

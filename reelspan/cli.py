@@ -18,25 +18,30 @@ from .plans.export import export
 from .plans.validate import found_in
 from .session import build_session
 from .sinks.convert import convert
-from .sources.recordings import open_dataset, resolve
+from .sources import rrd
+from .sources.recordings import is_recording, open_dataset, resolve
 
 
-def frames_of(spark: SparkSession, args: argparse.Namespace, config: ExportConfig) -> DataFrame | None:
+def frames_of(spark: SparkSession, args: argparse.Namespace, config: ExportConfig, location: str) -> DataFrame | None:
     """The frames of the configured cameras, decoded here where packets are given."""
     if not config.cameras:
         return None
     if args.frames:
         return spark.read.parquet(args.frames)
-    if not args.packets:
-        raise ValueError("the configuration names cameras; give --frames, or --packets and --decoder")
-    module, _, name = (args.decoder or "").partition(":")
+    module, _, name = args.decoder.partition(":")
     if not name:
-        raise ValueError("packets need --decoder MODULE:NAME; no H.264 decoder ships with this library")
+        raise ValueError("--decoder is MODULE:NAME")
+    if args.packets:
+        packets = spark.read.parquet(args.packets)
+    elif is_recording(location):
+        packets = rrd.read(spark, location, config.index_column, "packets")
+    else:
+        raise ValueError("the configuration names cameras; give --frames or --packets")
     try:
         new_decoder = getattr(importlib.import_module(module), name)
     except (ImportError, AttributeError) as error:
         raise ValueError(f"no such decoder: {args.decoder} ({error})") from error
-    packets = spark.read.parquet(args.packets).filter(F.col("camera").isin([c.source for c in config.cameras]))
+    packets = packets.filter(F.col("camera").isin([c.source for c in config.cameras]))
     return decode_frames(packets, new_decoder).persist(StorageLevel.DISK_ONLY)
 
 
@@ -53,7 +58,7 @@ def main(argv: list[str] | None = None) -> int:
     images = e.add_mutually_exclusive_group()
     images.add_argument("--frames", help="table of decoded frames: segment_id, camera, t_ns, frame_seq, height, width, rgb")
     images.add_argument("--packets", help="table of H.264 packets (segment_id, camera, t_ns, seq, data), decoded by --decoder")
-    e.add_argument("--decoder", help="MODULE:NAME of what makes a decoder, see functions.packets.decode_frames")
+    e.add_argument("--decoder", default="reelspan.functions.packets:av_decoder", help="MODULE:NAME of what makes a decoder, see functions.packets.decode_frames; by default PyAV's")
     c = commands.add_parser("convert")
     c.add_argument("dataset_dir")
     args = p.parse_args(argv)
@@ -65,8 +70,8 @@ def main(argv: list[str] | None = None) -> int:
             return 0
         config = ExportConfig.from_json(Path(args.config).read_text())
         location = args.dataset if args.catalog_url else str(resolve(args.dataset, args.recordings_dir))
-        signals, frames = open_dataset(spark, location, args.catalog_url), frames_of(spark, args, config)
-        export(signals, config, args.output, frames, found_in(config, signals, frames))
+        signals, frames = open_dataset(spark, location, args.catalog_url, config.index_column), frames_of(spark, args, config, location)
+        export(signals, config, args.output, frames, found_in(config, signals, frames), progress=lambda done, of: logging.info("%d of %d episodes written", done, of))
         if config.format == "groot":
             convert(spark, args.output)
     except (ValueError, RuntimeError, FileNotFoundError) as error:

@@ -112,10 +112,6 @@ class ExportConfig:
         signals = [*self.action, *self.state, *([self.trimming.source] if self.trimming.source else [])]
         return list(dict.fromkeys([*(scalar_column(s) for s in signals), *(video_column(c.source) for c in self.cameras)]))
 
-    def video_specs(self) -> list[dict]:
-        """Key, entity path and, where both are given, the size of each camera."""
-        return [{"key": c.source, "path": f"/{c.source}"} | ({"width": c.width, "height": c.height} if c.resize else {}) for c in self.cameras]
-
 
 def scalar_column(source: str) -> str:
     return f"/{source.lstrip('/')}{SCALAR_SUFFIX}"

@@ -16,7 +16,7 @@ BUCKET_NS = 3_600 * 10**9
 _KEY = ("segment_id", "_bucket")
 
 
-def _bucketed(rows: DataFrame, bucket_ns: int) -> DataFrame:
+def bucketed(rows: DataFrame, bucket_ns: int) -> DataFrame:
     return rows.filter("t_ns IS NOT NULL").withColumn("_bucket", F.floor(F.col("t_ns") / bucket_ns).cast("long"))
 
 
@@ -48,7 +48,7 @@ def latest_at(probes: DataFrame, signals: DataFrame, sources: list[str], bucket_
     """
     data = signals.filter(F.col("source").isin(sources) & F.col("value").isNotNull()).select("segment_id", "t_ns", F.lit(0).alias("_probe"), "source", "seq", "value")
     asked = probes.select("segment_id", "t_ns").distinct().select("segment_id", "t_ns", F.lit(1).alias("_probe"), F.lit(None).cast("string").alias("source"), F.lit(None).cast("long").alias("seq"), F.lit(None).cast(data.schema["value"].dataType).alias("value"))
-    rows = _bucketed(data.unionByName(asked), bucket_ns)
+    rows = bucketed(data.unionByName(asked), bucket_ns)
     order = [F.col("t_ns"), F.col("_probe"), F.col("seq")]
     found = {f"_v{i}": (F.when(F.col("source") == s, F.struct("t_ns", "seq", "value")), order, True, 0) for i, s in enumerate(sources)}
     filled = _carried(rows, found).filter("_probe = 1")
@@ -69,7 +69,7 @@ def nearest(grid: DataFrame, data: DataFrame, payload: list[str], bucket_ns: int
     value = F.struct("t_ns", "seq", *payload)
     points = grid.select("segment_id", "t_ns", F.lit(1).alias("_probe"), F.lit(None).cast("long").alias("seq"), extra.alias("_keep"))
     there = data.filter("t_ns IS NOT NULL").select("segment_id", "t_ns", F.lit(0).alias("_probe"), "seq", value.alias("_data"))
-    rows = _bucketed(points.unionByName(there, allowMissingColumns=True), bucket_ns)
+    rows = bucketed(points.unionByName(there, allowMissingColumns=True), bucket_ns)
     before = [F.col("t_ns"), F.col("_probe").desc(), F.col("seq")]
     after = [F.col("t_ns").desc(), F.col("_probe"), F.col("seq").desc()]
     full = _carried(rows, {"_p": (F.col("_data"), before, True, -1), "_n": (F.col("_data"), after, False, -1)})

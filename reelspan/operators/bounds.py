@@ -6,6 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import duration_s, exceeds, largest_change
+from .asof import BUCKET_NS, bucketed
+from .order import running_total
+
+#: Steps of a time grid that are made at a time.
+GRID_STEPS = 10_000
 
 
 def segments(signals: DataFrame, subset: list[str] | None = None) -> DataFrame:
@@ -15,9 +20,8 @@ def segments(signals: DataFrame, subset: list[str] | None = None) -> DataFrame:
 
 
 def episode_indexes(found: DataFrame) -> DataFrame:
-    """Positions of segments in sorted order, skipped ones included. One row a
-    segment passes through this window, none of their samples."""
-    return found.withColumn("episode_index", (F.row_number().over(Window.orderBy("segment_id")) - 1).cast("long"))
+    """Positions of segments in sorted order, skipped ones included."""
+    return running_total(found, "segment_id", None, "episode_index")
 
 
 def index_ranges(signals: DataFrame, timeline: str = "canonical_time", kind: str = "timestamp") -> DataFrame:
@@ -60,12 +64,20 @@ def signal_presence(signals: DataFrame, source: str) -> DataFrame:
     return own.groupBy("segment_id").agg(F.min("t_ns").alias("trim_start"), F.max("t_ns").alias("trim_end"))
 
 
-def consecutive_changes(signals: DataFrame, source: str) -> DataFrame:
+def consecutive_changes(signals: DataFrame, source: str, bucket_ns: int = BUCKET_NS) -> DataFrame:
     """(segment_id, t_ns, t_next, change, ragged) of neighbouring samples of a source
-    over whole segments."""
-    own = signals.filter((F.col("source") == source) & F.col("value").isNotNull())
-    w = Window.partitionBy("segment_id").orderBy("t_ns", "seq")
-    pairs = own.select("segment_id", "t_ns", F.lead("t_ns").over(w).alias("t_next"), "value", F.lead("value").over(w).alias("_next")).filter("t_next IS NOT NULL")
+    over whole segments.
+
+    Segments are cut into time buckets; the first sample of the next bucket that has
+    one stands once more at the end of a bucket, so no task holds a whole segment.
+    """
+    own = bucketed(signals.filter((F.col("source") == source) & F.col("value").isNotNull()).select("segment_id", "t_ns", "seq", "value"), bucket_ns)
+    heads = own.groupBy("segment_id", "_bucket").agg(F.min(F.struct("t_ns", "seq", "value")).alias("_head"))
+    back = Window.partitionBy("segment_id").orderBy("_bucket")
+    again = heads.select("segment_id", F.lag("_bucket").over(back).alias("_bucket"), "_head").filter("_bucket IS NOT NULL")
+    rows = own.withColumn("_own", F.lit(True)).unionByName(again.select("segment_id", "_head.*", "_bucket", F.lit(False).alias("_own")))
+    w = Window.partitionBy("segment_id", "_bucket").orderBy("t_ns", "seq")
+    pairs = rows.select("segment_id", "t_ns", "_own", F.lead("t_ns").over(w).alias("t_next"), "value", F.lead("value").over(w).alias("_next")).filter("_own AND t_next IS NOT NULL")
     return pairs.select("segment_id", "t_ns", "t_next", largest_change(F.col("value"), F.col("_next")).alias("change"), (F.size("value") != F.size("_next")).alias("ragged"))
 
 
@@ -95,6 +107,9 @@ def trimmed(ranges: DataFrame, trim: DataFrame | None) -> DataFrame:
 
 
 def time_grid(ranges: DataFrame, step_ns: int) -> DataFrame:
-    """(segment_id, frame_index, t_ns): every step from the start, the end included."""
-    points = F.posexplode(F.sequence(F.col("start_ns"), F.col("end_ns"), F.lit(step_ns).cast("long")))
-    return ranges.select("segment_id", points.alias("frame_index", "t_ns")).withColumn("frame_index", F.col("frame_index").cast("long"))
+    """(segment_id, frame_index, t_ns): every step from the start, the end included. Steps
+    are made ``GRID_STEPS`` at a time, so the grid of a long segment is never one value."""
+    last = F.floor((F.col("end_ns") - F.col("start_ns")) / step_ns).cast("long")
+    some = ranges.select("segment_id", "start_ns", last.alias("_last")).withColumn("_first", F.explode(F.sequence(F.lit(0).cast("long"), "_last", F.lit(GRID_STEPS).cast("long"))))
+    steps = F.sequence("_first", F.least(F.col("_first") + GRID_STEPS - 1, F.col("_last")))
+    return some.select("segment_id", "start_ns", F.explode(steps).alias("frame_index")).select("segment_id", "frame_index", (F.col("start_ns") + F.col("frame_index") * step_ns).alias("t_ns"))

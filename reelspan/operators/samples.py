@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import concat_present
+from ..functions.columns import concat_present, vector
 
 
 def filled_vectors(filled: DataFrame, action: list[str], state: list[str]) -> DataFrame:
@@ -18,11 +18,6 @@ def filled_vectors(filled: DataFrame, action: list[str], state: list[str]) -> Da
     return whole.select("segment_id", "t_ns", joined.alias("action"), parts.alias("state"))
 
 
-def deduplicated(rows: DataFrame) -> DataFrame:
-    """One row for each segment and time, the last by seq."""
-    return rows.groupBy("segment_id", "t_ns").agg(F.max_by(F.struct("*"), "seq").alias("r")).select("r.*")
-
-
 def camera_frames(picked: DataFrame, n_cameras: int) -> DataFrame:
     """(segment_id, t_ns, images) where all cameras have a frame; ``picked`` has one
     row a camera with frame (a struct)."""
@@ -36,8 +31,7 @@ def samples(grid: DataFrame, vectors: DataFrame, images: DataFrame | None = None
     out = grid.join(vectors.select("segment_id", "t_ns", "action", "state"), ["segment_id", "t_ns"])
     if images is not None:
         out = out.join(images, ["segment_id", "t_ns"])
-    floats = {c: F.transform(c, lambda v: v.cast("float")) for c in ("action", "state")}
-    return out.withColumns(floats)
+    return out.withColumns({c: vector(F.col(c)) for c in ("action", "state")})
 
 
 def episode_summary(found: DataFrame) -> DataFrame:

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ExportConfig
+from ..functions.pixels import resized
 from ..operators import asof, bounds, samples
 
 
@@ -18,6 +20,7 @@ class Episodes:
 
     samples: DataFrame
     status: DataFrame
+    kept: DataFrame | None = None
 
 
 def trim_of(signals: DataFrame, config: ExportConfig) -> DataFrame | None:
@@ -29,41 +32,28 @@ def trim_of(signals: DataFrame, config: ExportConfig) -> DataFrame | None:
     return None
 
 
-def sized(frames: DataFrame, config: ExportConfig) -> DataFrame:
-    """Frames of the configured cameras. Pixels are not resized here, so a frame whose
-    size is not the one asked for is an error once its pixels are read."""
-    own = frames.filter(F.col("camera").isin([c.source for c in config.cameras]))
-    other = F.lit(False)
-    for c in config.cameras:
-        if c.resize:
-            width, height = c.resize
-            other = other | ((F.col("camera") == c.source) & ((F.col("width") != width) | (F.col("height") != height)))
-    if not any(c.resize for c in config.cameras):
-        return own
-    told = F.concat(F.lit("resizing is not built: camera "), "camera", F.lit(" has frames of "), "width", F.lit(" x "), "height")
-    return own.withColumn("height", F.when(other, F.raise_error(told)).otherwise(F.col("height")))
-
-
-def build(signals: DataFrame, config: ExportConfig, frames: DataFrame | None = None, step_ns: int | None = None, subset: list[str] | None = None, kind: str = "timestamp") -> Episodes:
+def build(signals: DataFrame, config: ExportConfig, frames: DataFrame | None = None, step_ns: int | None = None, subset: list[str] | None = None, kind: str = "timestamp", keep: bool = False) -> Episodes:
     """``signals`` in the long layout, ``frames`` (segment_id, camera, t_ns,
     frame_seq, height, width, ...), which must be given where cameras are configured.
 
     A segment is skipped if it is too long, has no action samples, lacks a camera,
     or its ranges don't overlap; it fails if no row has all action sources, its
     trimming vectors differ in length, or no sample is left. Ranges come from
-    cameras and the first action source; state does not narrow them.
+    cameras and the first action source; state does not narrow them. ``keep`` keeps
+    the samples on disk, for callers that read both results.
     """
     if not config.action:
         raise ValueError("the configuration names no action source")
     if config.cameras and frames is None:
         raise ValueError(f"the configuration names cameras, but no frames are given: {', '.join(c.source for c in config.cameras)}")
-    frames = sized(frames, config) if config.cameras else None
+    frames = frames.filter(F.col("camera").isin([c.source for c in config.cameras])) if config.cameras else None
     found = bounds.episode_indexes(bounds.segments(signals, subset))
     if subset:
         signals = signals.join(F.broadcast(found.select("segment_id")) if len(subset) <= 1000 else found.select("segment_id"), "segment_id", "left_semi")
     raw = bounds.with_durations(bounds.index_ranges(signals, config.index_column, kind))
-    fits = bounds.within_duration(bounds.index_ranges(signals, config.index_column, kind), config.max_episode_duration_s).select("segment_id")
-    usable = signals.join(fits, "segment_id", "left_semi") if config.max_episode_duration_s else signals
+    limit = config.max_episode_duration_s
+    # those that are too long are the few; unknown durations pass
+    usable = signals.join(raw.filter(F.col("duration_s") > limit).select("segment_id"), "segment_id", "left_anti") if limit else signals
 
     action = bounds.source_ranges(usable, config.action[:1]).select("segment_id", "start_ns", "end_ns")
     cameras = frames.groupBy("segment_id", "camera").agg(F.min("t_ns").alias("start_ns"), F.max("t_ns").alias("end_ns")) if frames is not None else None
@@ -87,9 +77,13 @@ def build(signals: DataFrame, config: ExportConfig, frames: DataFrame | None = N
         parts = F.split("segment_id", "\x1f")
         picked = picked.select(parts[0].alias("segment_id"), parts[1].alias("camera"), "t_ns", "frame_seq")
         payload = frames.select("segment_id", "camera", "frame_seq", F.struct(*(c for c in frames.columns if c not in ("segment_id", "camera", "t_ns"))).alias("frame"))
-        images = samples.camera_frames(picked.join(payload, ["segment_id", "camera", "frame_seq"]), n_cameras)
+        # only frames that samples take are resized
+        shown = resized(picked.join(payload, ["segment_id", "camera", "frame_seq"]), {c.source: c.resize for c in config.cameras if c.resize})
+        images = samples.camera_frames(shown, n_cameras)
     made = samples.samples(vectors.select("segment_id", "frame_index", "t_ns"), vectors, images)
 
+    if keep:
+        made = made.persist(StorageLevel.DISK_ONLY)
     summary = samples.episode_summary(made)
     status = found.join(raw.select("segment_id", F.col("duration_s").alias("_raw_s")), "segment_id", "left")
     status = status.join(action.select("segment_id", F.lit(True).alias("_action")), "segment_id", "left")
@@ -98,7 +92,6 @@ def build(signals: DataFrame, config: ExportConfig, frames: DataFrame | None = N
     if trim is not None and "ragged" in trim.columns:
         status = status.join(trim.filter("ragged").select("segment_id", F.lit(True).alias("_ragged")), "segment_id", "left")
         ragged = F.coalesce("_ragged", F.lit(False))
-    limit = config.max_episode_duration_s
     too_long = F.coalesce(F.col("_raw_s") > limit, F.lit(False)) if limit else F.lit(False)
     reason = (
         F.when(too_long, "longer than the duration limit").when(F.col("_action").isNull(), "no action samples")
@@ -109,4 +102,4 @@ def build(signals: DataFrame, config: ExportConfig, frames: DataFrame | None = N
     outcome = F.when(failed, "failed").when(reason.isNotNull(), "skipped").otherwise("success")
     status = status.select("segment_id", "episode_index", outcome.alias("status"), reason.alias("reason"), F.coalesce("num_frames", F.lit(0)).alias("num_frames"), F.coalesce("duration_s", F.lit(0.0)).alias("duration_s"))
     good = status.filter("status = 'success'").select("segment_id", "episode_index")
-    return Episodes(made.join(good, "segment_id"), status)
+    return Episodes(made.join(good, "segment_id"), status, made if keep else None)

@@ -12,11 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import ExportConfig, Trimming
+from ..config import Camera, ExportConfig, Trimming
 from ..functions import columns as fn
 from ..operators import asof, bounds, layout, samples
+from ..sinks.convert import episode_lines, video_clips
 from ..sources.recordings import embedding_signals, event_signals, long_signals
 from . import episodes
+from .validate import lacking
 
 STEP = 6 * 3600 * 10**9
 LIMIT_S = 29.5 * 86_400
@@ -76,19 +78,17 @@ def p7_j7_duration_guard(spark, sf_dir):
     return bounds.within_duration(bounds.index_ranges(_events(spark, sf_dir)), LIMIT_S).select("segment_id", "duration_s")
 
 
-@_query("SELECT event_type AS source, count(*) AS n FROM events WHERE event_type <> 'purchase' AND value IS NOT NULL GROUP BY 1")
+@_query(f"WITH {_SIG} SELECT segment_id, source, t_ns, value FROM sig")
 def p5_p6_wide_to_long(spark, sf_dir):
-    names = ("click", "view", "signup", "error")
+    names = ("click", "view", "signup", "error", "purchase")
     events = _read(spark, sf_dir, "events")
     wide = events.select(F.col("user_id").alias("segment_id"), "ts", *(F.when(F.col("event_type") == n, F.col("value")).alias(f"/{n}:Scalars:scalars") for n in names))
-    return long_signals(wide, "ts", scalars=True).groupBy("source").agg(F.count("*").alias("n"))
+    return long_signals(wide, "ts", scalars=True).select("segment_id", "source", "t_ns", F.col("value")[0].alias("value"))
 
 
 @_query("WITH have AS (SELECT DISTINCT user_id, event_type FROM events), want AS (SELECT unnest(['click', 'teleop', 'purchase']) AS source) SELECT CAST(u.user_id AS VARCHAR) AS segment_id, w.source FROM (SELECT DISTINCT user_id FROM events) u CROSS JOIN want w LEFT JOIN have h ON h.user_id = u.user_id AND h.event_type = w.source WHERE h.user_id IS NULL")
 def p13_missing_sources(spark, sf_dir):
-    signals = _events(spark, sf_dir)
-    wanted = bounds.segments(signals).select("segment_id", F.explode(F.array(*map(F.lit, ("click", "teleop", "purchase")))).alias("source"))
-    return wanted.join(signals.select("segment_id", "source").distinct(), ["segment_id", "source"], "left_anti")
+    return lacking(_events(spark, sf_dir), ["click", "teleop", "purchase"])
 
 
 @_query(f"WITH {_SIG} SELECT segment_id, min(t_ns) AS start_ns, max(t_ns) AS end_ns FROM sig WHERE source = 'click' GROUP BY segment_id")
@@ -244,6 +244,20 @@ def k3_samples(spark, sf_dir):
     return made.select("segment_id", "episode_index", "frame_index", "t_ns", F.col("action")[0].cast("double").alias("action0"), F.size("state").alias("n_state"), total.alias("state_sum"))
 
 
+@_query(f"""WITH {_SIG}, act AS (SELECT segment_id, min(t_ns) AS s, max(t_ns) AS e FROM sig WHERE source = 'click' GROUP BY segment_id),
+cam AS (SELECT segment_id, min(t_ns) AS s, max(t_ns) AS e FROM sig WHERE source = 'view' GROUP BY segment_id),
+rng AS (SELECT * FROM (SELECT segment_id, greatest(act.s, cam.s) AS start_ns, least(act.e, cam.e) AS end_ns FROM act JOIN cam USING (segment_id)) WHERE start_ns < end_ns),
+{_GRID}, {_ends('click')}, {_NEAR}, vec AS (SELECT * FROM near), lo2 AS (SELECT segment_id, t_ns AS t, arg_max(seq, seq) AS v FROM sig WHERE source = 'view' GROUP BY ALL), hi2 AS (SELECT segment_id, t_ns AS t, arg_min(seq, seq) AS v FROM sig WHERE source = 'view' GROUP BY ALL),
+pic AS (SELECT g.segment_id, g.frame_index, g.t_ns, CASE WHEN b.t IS NULL OR (a.t IS NOT NULL AND g.t_ns - a.t <= b.t - g.t_ns) THEN a.v ELSE b.v END AS frame FROM grid g ASOF LEFT JOIN lo2 a ON a.segment_id = g.segment_id AND g.t_ns > a.t ASOF LEFT JOIN hi2 b ON b.segment_id = g.segment_id AND g.t_ns <= b.t)
+SELECT segment_id, frame_index, t_ns, CAST(CAST(vec.v AS FLOAT) AS DOUBLE) AS action0, frame FROM vec JOIN pic USING (segment_id, frame_index, t_ns)""")
+def p19_j6_camera_samples(spark, sf_dir):
+    signals = _events(spark, sf_dir)
+    frames = signals.filter("source = 'view'").select("segment_id", F.lit("view").alias("camera"), "t_ns", F.col("seq").alias("frame_seq"), F.lit(1).alias("height"), F.lit(1).alias("width"))
+    config = ExportConfig(action=["click"], cameras=[Camera("view")], fps=15)
+    made = episodes.build(signals, config, frames.withColumn("number", F.col("frame_seq")), step_ns=STEP).samples
+    return made.select("segment_id", "frame_index", "t_ns", F.col("action")[0].cast("double").alias("action0"), F.col("images")["view"]["number"].alias("frame"))
+
+
 @_query("SELECT CAST(dim AS INTEGER) AS dim, round(min(v), 5) AS \"min\", round(max(v), 5) AS \"max\", round(avg(v), 5) AS mean, round(stddev_pop(v), 5) AS std, count(v) AS count FROM (SELECT unnest(range(0, 64)) AS dim, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings) GROUP BY dim")
 def a13_feature_statistics(spark, sf_dir):
     found = samples.feature_statistics(_read(spark, sf_dir, "embeddings").select("embedding"), "embedding")
@@ -263,6 +277,14 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.row_ranges(lengths).withColumn("data/chunk_index", F.floor(F.col("episode_index") / PER_CHUNK).cast("long")).withColumn("data/file_index", F.floor(F.col("episode_index") / PER_FILE).cast("long"))
 
 
+def _with_videos(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("episode_index"), (F.col("o_orderstatus") != "P").alias("_has"))
+    records = _records(spark, sf_dir).join(orders, "episode_index")
+    for n in ("chunk_index", "file_index"):
+        records = records.withColumn(f"videos/top/{n}", F.when(F.col("_has"), F.col(f"`data/{n}`")))
+    return records.withColumns({f"videos/top/{n}_timestamp": F.col(f"dataset_{n}_index") / 30.0 for n in ("from", "to")})
+
+
 _REC = f"rec AS (SELECT l_orderkey AS episode_index, count(*) AS length, l_orderkey // {PER_CHUNK} AS c, l_orderkey // {PER_FILE} AS f FROM lineitem GROUP BY l_orderkey), pos AS (SELECT *, CAST(sum(length) OVER (ORDER BY episode_index) AS BIGINT) AS dataset_to_index FROM rec), full_ AS (SELECT *, dataset_to_index - length AS dataset_from_index FROM pos)"
 
 
@@ -276,13 +298,15 @@ def a9_a11_file_groups(spark, sf_dir):
     return layout.file_groups(_records(spark, sf_dir))
 
 
-@_query(f"WITH {_REC} SELECT c AS chunk_index, f AS file_index, count(*) AS n_episodes FROM full_ WHERE episode_index % 3 <> 0 GROUP BY ALL")
+@_query(f"WITH {_REC} SELECT c AS chunk_index, f AS file_index, count(*) AS n_episodes FROM full_ JOIN orders ON o_orderkey = episode_index WHERE o_orderstatus <> 'P' GROUP BY ALL")
 def a10_p18_camera_groups(spark, sf_dir):
-    has = F.col("episode_index") % 3 != 0
-    records = _records(spark, sf_dir)
-    for n in ("chunk_index", "file_index"):
-        records = records.withColumn(f"videos/top/{n}", F.when(has, F.col(f"`data/{n}`")))
-    return layout.camera_groups(records, "top")
+    return layout.camera_groups(_with_videos(spark, sf_dir), "top")
+
+
+# orders that are partly done stand for episodes without a video; prices for seconds
+@_query(f"WITH {_REC} SELECT episode_index, 'top' AS video_key, printf('set/videos/top/chunk-%03d/file-%03d.mp4', c, f) AS source, dataset_from_index / 30.0 AS start, dataset_to_index / 30.0 AS \"end\" FROM full_ JOIN orders ON o_orderkey = episode_index WHERE o_orderstatus <> 'P'")
+def j9_video_clips(spark, sf_dir):
+    return video_clips(_with_videos(spark, sf_dir), ["top"], "set").filter("source IS NOT NULL")
 
 
 @_query(f"WITH {_REC}, loc AS (SELECT *, dataset_from_index - min(dataset_from_index) OVER (PARTITION BY c, f) AS a FROM full_) SELECT c AS chunk, f AS file, a + i AS row_index, episode_index FROM (SELECT *, unnest(range(0, length)) AS i FROM loc)")
@@ -307,13 +331,11 @@ def a12_totals(spark, sf_dir):
 
 @_query("SELECT CAST(row_number() OVER (ORDER BY event_type) - 1 AS BIGINT) AS task_index, event_type AS task FROM (SELECT DISTINCT event_type FROM events)")
 def k8_tasks(spark, sf_dir):
-    return _read(spark, sf_dir, "events").select("event_type").distinct().selectExpr("CAST(row_number() OVER (ORDER BY event_type) - 1 AS BIGINT) AS task_index", "event_type AS task")
+    return layout.task_indexes(_read(spark, sf_dir, "events").select(F.col("event_type").alias("task")))
 
 
 @_query(f"WITH {_REC} SELECT episode_index, '{{\"episode_index\":' || episode_index || ',\"length\":' || length || '}}' AS line FROM full_")
 def k9_f11_episode_lines(spark, sf_dir):
-    from ..sinks.convert import episode_lines
-
     return episode_lines(_records(spark, sf_dir).drop("length")).select("episode_index", "line")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..config import ExportConfig
 
@@ -35,6 +36,13 @@ def missing_sources(config: ExportConfig, found: dict[str, list[str]]) -> list[s
     return lines
 
 
+def lacking(signals: DataFrame, sources: list[str]) -> DataFrame:
+    """(segment_id, source) of the named sources that a segment has no samples of."""
+    there = signals.filter(F.col("source").isin(sources)).select("segment_id", "source").distinct()
+    wanted = signals.select("segment_id").distinct().select("segment_id", F.explode(F.array(*map(F.lit, sources))).alias("source"))
+    return wanted.join(there, ["segment_id", "source"], "left_anti")
+
+
 def validate_sources(config: ExportConfig, found: dict[str, list[str]] | None) -> None:
     """Raise ValueError for what is missing; an unreadable schema only warns."""
     if found is None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import logging
 import math
 import os
 import re
@@ -13,42 +14,48 @@ from functools import reduce
 from pathlib import Path
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.recordings import load_info
+from ..operators.layout import file_groups, rows_of_episodes
+from ..sources.recordings import data_rows, load_episode_records, load_info, load_tasks
+
+log = logging.getLogger(__name__)
 
 # fixed values: path templates and limits of the layout
+DATA_FILE = "data/chunk-{chunk_index:03d}/file-{file_index:03d}.parquet"
 DATA_PATH = "data/chunk-{episode_chunk:03d}/episode_{episode_index:06d}.parquet"
 VIDEO_PATH = "videos/chunk-{episode_chunk:03d}/{video_key}/episode_{episode_index:06d}.mp4"
 SOURCE_VIDEO_PATH = "videos/{video_key}/chunk-{chunk_index:03d}/file-{file_index:03d}.mp4"
 VIDEO_SUFFIXES = (".mp4", ".avi", ".mov", ".mkv", ".webm")
+SYSTEM_FOLDERS = ("/etc", "/proc", "/sys", "/dev", "/boot", "/bin", "/sbin", "/usr")
 MOST_SECONDS, MOST_CLIP_SECONDS, CUT_TIMEOUT_S = 86_400, 3_600, 300
 CHUNK_SIZE = 1000
 
 
 def write_episodes(frames: DataFrame, root: str, chunk_size: int = CHUNK_SIZE) -> DataFrame:
-    """Write each episode's rows to its file and return (episode_index, length, path).
+    """Write the ``row`` of each episode's rows (episode_index, row_index, row) to its
+    file, in order, and return (episode_index, length, path).
 
     Rows are grouped by episode on the executors; a file is written under another
     name and moved, so a repeated task leaves one whole file. ``root`` must be a
     file system that the executors share.
     """
-    columns = frames.columns
-    # grouped maps look columns up by name, which dots in the names would break
-    plain_names = [c.replace(".", "\x1f") for c in columns]
 
-    def write(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        episode = int(key[0])
-        pdf = pdf.set_axis(columns, axis=1)
+    def write(key: tuple, table: pa.Table) -> pa.Table:
+        episode = key[0].as_py()
+        rows = table.sort_by("row_index").column("row").combine_chunks()
+        own = pa.Table.from_arrays(rows.flatten(), names=[f.name for f in rows.type])
         path = Path(root) / DATA_PATH.format(episode_chunk=episode // chunk_size, episode_index=episode)
         path.parent.mkdir(parents=True, exist_ok=True)
         part = path.with_name(f".{path.name}.{os.getpid()}")
-        pdf.sort_values("frame_index")[columns].to_parquet(part, index=False)
+        pq.write_table(own, part)
         part.replace(path)
-        return pd.DataFrame({"episode_index": [episode], "length": [len(pdf)], "path": [str(path)]})
+        return pa.table({"episode_index": pa.array([episode], pa.int64()), "length": pa.array([len(own)], pa.int64()), "path": [str(path)]})
 
-    return frames.toDF(*plain_names).groupBy("episode_index").applyInPandas(write, "episode_index long, length long, path string")
+    return frames.select("episode_index", "row_index", "row").groupBy("episode_index").applyInArrow(write, "episode_index long, length long, path string")
 
 
 def tasks_lines(tasks: list[tuple[int, str]]) -> list[str]:
@@ -95,19 +102,21 @@ def episode_lines(records: DataFrame) -> DataFrame:
     return records.select("episode_index", F.to_json(F.struct(*(F.col(f"`{c}`") for c in kept), length.cast("long").alias("length"))).alias("line"), F.to_json(F.struct("episode_index", stats.alias("stats"))).alias("stats_line"))
 
 
-def converted_info(info: dict, chunk_size: int = CHUNK_SIZE) -> dict:
-    """info.json of the new layout."""
+def converted_info(info: dict, records: int, chunk_size: int) -> dict:
+    """info.json of the new layout; ``records`` stands in for a missing count of episodes."""
     features = {k: {n: v for n, v in f.items() if n != "fps" or f.get("dtype") == "video"} for k, f in info["features"].items()}
     videos = [k for k, f in features.items() if f.get("dtype") == "video"]
     out = {k: v for k, v in info.items() if k not in ("data_files_size_in_mb", "video_files_size_in_mb")}
-    episodes = info.get("total_episodes", 0)
-    return out | {"codebase_version": "v2.1", "features": features, "chunks_size": chunk_size, "data_path": DATA_PATH, "video_path": VIDEO_PATH if videos else None, "total_chunks": math.ceil(episodes / chunk_size), "total_videos": episodes * len(videos)}
+    episodes = info.get("total_episodes") or records
+    return out | {"codebase_version": "v2.1", "features": features, "chunks_size": chunk_size, "data_path": DATA_PATH, "video_path": VIDEO_PATH if videos and info.get("video_path") else None, "total_chunks": math.ceil(episodes / chunk_size), "total_videos": episodes * len(videos)}
 
 
 def check_video_path(path: str) -> str:
     """Refuse names with control characters or other endings than a video's."""
     if re.search(r"[\x00-\x1f\x7f]", path):
         raise ValueError("control characters in a video path")
+    if any(path == p or path.startswith(f"{p}/") for p in SYSTEM_FOLDERS):
+        raise ValueError(f"a video path in a system folder: {path}")
     if Path(path).suffix.lower() not in VIDEO_SUFFIXES:
         raise ValueError(f"not a video file: {path}")
     return path
@@ -191,44 +200,63 @@ def write_videos(clips: DataFrame, root: str, chunk_size: int = CHUNK_SIZE, cutt
     return spread.mapInPandas(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
-def convert(spark: SparkSession, root: str, chunk_size: int = CHUNK_SIZE, cutter: Callable[[str, str, float, float], None] | None = None) -> dict:
+def convert(spark: SparkSession, root: str, chunk_size: int | None = None, cutter: Callable[[str, str, float, float], None] | None = None) -> dict:
     """Convert a dataset in place: build beside it, then swap; the old one stays as
     ``<name>_v3.0``. Existing siblings of those names are refused, not deleted.
 
     Where there are video features, each episode's part is cut from its video file
     by ``cutter(source, target, start, end)``, ffmpeg if none is given. What can't be
-    cut (no ffmpeg, no file, no times) is an error before anything is written.
+    cut (no ffmpeg, no file, no times) is an error before anything is written, and so
+    are data files that the records name and that aren't there. ``chunk_size`` is by
+    default the dataset's own.
     """
     info = load_info(root)
+    chunk_size = chunk_size or info.get("chunks_size") or CHUNK_SIZE
     old = Path(root)
     new, backup = old.with_name(f"{old.name}_v2.1"), old.with_name(f"{old.name}_v3.0")
     for p in (new, backup):
         if p.exists():
             raise FileExistsError(f"{p} exists; move it first")
-    records = spark.read.parquet(f"{old}/meta/episodes")
+    records = load_episode_records(spark, old)
+    for r in file_groups(records).select("chunk_index", "file_index").toLocalIterator():
+        if not (path := old / DATA_FILE.format(chunk_index=r["chunk_index"], file_index=r["file_index"])).is_file():
+            raise FileNotFoundError(f"no {path}")
+    n_records = records.count()
     videos = [k for k, f in info["features"].items() if f.get("dtype") == "video"]
     if videos:
         clips = video_clips(records, videos, str(old), info.get("video_path") or SOURCE_VIDEO_PATH)
-        check_clips(clips, records.count(), videos)
+        check_clips(clips, n_records, videos)
         if cutter is None and not shutil.which("ffmpeg"):
             raise RuntimeError("there is no ffmpeg to cut videos with")
+    try:
+        count = write_converted(spark, old, new, info, records, n_records, chunk_size)
+        if videos:
+            write_videos(clips, str(new), chunk_size, cutter or cut)
+    except BaseException:
+        shutil.rmtree(new, ignore_errors=True)  # what is half made would only be in the way
+        raise
+    old.rename(backup)
+    new.rename(old)
+    return {"episodes": count, "backup": str(backup)}
+
+
+def write_converted(spark: SparkSession, old: Path, new: Path, info: dict, records: DataFrame, n_records: int, chunk_size: int) -> int:
+    """Data and metadata of the new layout; how many episodes were written."""
     (new / "meta").mkdir(parents=True)
-    frames = spark.read.parquet(f"{old}/data")
-    written = write_episodes(frames, str(new), chunk_size)
+    written = write_episodes(rows_of_episodes(records, data_rows(spark, old)), str(new), chunk_size)
     count = written.agg(F.count("*")).first()[0]
-    if videos:
-        write_videos(clips, str(new), chunk_size, cutter or cut)
     lines = episode_lines(records)
     for name, column in (("episodes.jsonl", "line"), ("episodes_stats.jsonl", "stats_line")):
         with open(new / "meta" / name, "w") as f:
             for r in lines.orderBy("episode_index").select(column).toLocalIterator():
                 f.write(r[0] + "\n")
-    (new / "meta" / "info.json").write_text(json.dumps(plain(converted_info(info, chunk_size)), indent=4))
-    for name in ("stats.json", "tasks.jsonl", "modality.json"):
+    (new / "meta" / "tasks.jsonl").write_text("".join(f"{x}\n" for x in tasks_lines(load_tasks(old))))
+    (new / "meta" / "info.json").write_text(json.dumps(plain(converted_info(info, n_records, chunk_size)), indent=4))
+    for name in ("stats.json", "modality.json"):
         if (old / "meta" / name).is_file():
             shutil.copy2(old / "meta" / name, new / "meta" / name)
+        elif name == "modality.json":
+            log.warning("there is no %s to take over", name)
     if (old / "images").is_dir():
         shutil.copytree(old / "images", new / "images")
-    old.rename(backup)
-    new.rename(old)
-    return {"episodes": count, "backup": str(backup)}
+    return count

@@ -5,27 +5,14 @@ from __future__ import annotations
 import json
 from pathlib import Path
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import SCALAR_SUFFIX, VIDEO_SUFFIX, sources_of
+from ..config import SCALAR_SUFFIX, sources_of
 from ..functions.columns import ns_of_index, ns_of_timestamp
-
-RECORDING = "recording.rrd"
-
-
-def discover(dataset_dir: str | Path) -> list[Path]:
-    """Recording files: that of the folder itself, else those of its subfolders, sorted."""
-    root = Path(dataset_dir)
-    if not root.is_dir():
-        raise FileNotFoundError(f"no such dataset folder: {root}")
-    if (root / RECORDING).is_file():
-        return [root / RECORDING]
-    found = sorted(root.glob(f"*/{RECORDING}"))
-    if not found:
-        raise FileNotFoundError(f"no {RECORDING} in {root} or its subfolders")
-    return found
-
+from . import rrd
+from .rrd import RECORDING, discover  # noqa: F401
 
 def resolve(name_or_path: str, recordings_dir: str) -> Path:
     """An existing folder as it stands, else one of that name among the recordings."""
@@ -53,24 +40,23 @@ def embedding_signals(embeddings: DataFrame) -> DataFrame:
     return embeddings.select(F.col("label").cast("string").alias("segment_id"), F.lit("embedding").alias("source"), F.col("vec_id").alias("t_ns"), F.col("vec_id").alias("seq"), F.col("embedding").cast("array<double>").alias("value"))
 
 
-def schema_of(wide: DataFrame, timelines: list[str]) -> dict[str, list[str]]:
-    """Signals, cameras and timelines that a wide table has."""
-    return {"signals": sources_of(wide.columns, SCALAR_SUFFIX), "cameras": sources_of(wide.columns, VIDEO_SUFFIX), "timelines": [t for t in timelines if t in wide.columns]}
-
-
-def open_dataset(spark: SparkSession, location: str, catalog_url: str | None = None) -> DataFrame:
+def open_dataset(spark: SparkSession, location: str, catalog_url: str | None = None, index: str = "canonical_time") -> DataFrame:
     """The long signal table at a path, or of that name in the session's catalog.
 
-    Recordings in their native container need a reader from outside; where one is
-    registered as data source ``rrd``, it is used for such files.
+    A folder of recordings in their native container, or such a file, is read through
+    the ``rrd`` data source, a task for each file.
     """
     if catalog_url:
-        return spark.read.format("rrd").option("url", catalog_url).load(location)
+        return rrd.read(spark, location, index, url=catalog_url)
     if spark.catalog.tableExists(location) if "/" not in location else False:
         return spark.table(location)
-    if location.endswith(".rrd"):
-        return spark.read.format("rrd").load(location)
-    return spark.read.parquet(location)
+    return rrd.read(spark, location, index) if is_recording(location) else spark.read.parquet(location)
+
+
+def is_recording(location: str) -> bool:
+    """Whether a path is a recording in its native container, or a folder with some."""
+    root = Path(location)
+    return location.endswith(".rrd") or (root / RECORDING).is_file() or root.is_dir() and any(root.glob(f"*/{RECORDING}"))
 
 
 def load_info(root: str | Path) -> dict:
@@ -85,13 +71,33 @@ def load_info(root: str | Path) -> dict:
 
 
 def load_episode_records(spark: SparkSession, root: str | Path) -> DataFrame:
-    """Episode records of all metadata files, by episode."""
+    """Episode records of all metadata files."""
     base = Path(root) / "meta" / "episodes"
-    if not list(base.glob("chunk-*/file-*.parquet")):
+    if not any(base.glob("chunk-*/file-*.parquet")):
         raise FileNotFoundError(f"no episode metadata in {base}")
-    return spark.read.parquet(f"{base}/chunk-*/file-*.parquet").orderBy("episode_index")
+    return spark.read.option("mergeSchema", "true").parquet(f"{base}/chunk-*/file-*.parquet")
 
 
 def load_data(spark: SparkSession, root: str | Path) -> DataFrame:
-    """Frame rows of all data files; a missing file is an error of the read."""
+    """Frame rows of all data files."""
     return spark.read.parquet(f"{root}/data/chunk-*/file-*.parquet")
+
+
+def data_rows(spark: SparkSession, root: str | Path) -> DataFrame:
+    """(chunk, file, row_index, row): frame rows with their place, as ``rows_of_episodes`` takes them."""
+    data = load_data(spark, root)
+    chunk, file = (F.regexp_extract(F.col("_metadata.file_path"), r"chunk-(\d+)/file-(\d+)\.parquet$", i).cast("long") for i in (1, 2))
+    return data.select(chunk.alias("chunk"), file.alias("file"), F.col("_metadata.row_index").alias("row_index"), F.struct(*(F.col(f"`{c}`") for c in data.columns)).alias("row"))
+
+
+def load_tasks(root: str | Path) -> list[tuple[int, str]]:
+    """(task_index, task) of ``meta/tasks.parquet``, whose index holds the tasks, or of
+    ``meta/tasks.jsonl``; none where neither is there."""
+    meta = Path(root) / "meta"
+    if (meta / "tasks.parquet").is_file():
+        tasks = pd.read_parquet(meta / "tasks.parquet")
+        names = tasks["task"] if "task" in tasks.columns else tasks.index
+        return sorted((int(i), str(t)) for i, t in zip(tasks["task_index"], names, strict=True))
+    if (meta / "tasks.jsonl").is_file():
+        return sorted((int(r["task_index"]), r["task"]) for r in map(json.loads, (meta / "tasks.jsonl").read_text().splitlines()))
+    return []

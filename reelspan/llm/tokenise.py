@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import os
+import re
 import unicodedata
 from array import array
 from dataclasses import dataclass
@@ -19,6 +21,8 @@ from pyspark.sql import SparkSession
 
 from ..session import ship_package
 
+#: Signs of which one stands between words that are encoded together.
+MARKS = ("\u00a7", "\u00b6", "\u2020", "\u00a4", "|", "~", "^")
 #: Distinct words a worker remembers at a time; a speed setting without effect on results.
 MEMO = 800_000
 
@@ -61,8 +65,6 @@ def splits_at_spaces(data: bytes) -> bool:
     """Whether a JSON tokenizer treats each space-separated word by itself, and runs of
     letters and of signs in it: its normaliser turns white space into a space and
     lowers case, its pre-tokenizer splits such runs, and no added token has spaces."""
-    import json
-
     spec = json.loads(data)
     steps = (spec.get("normalizer") or {}).get("normalizers", [])
     split = ((spec.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
@@ -85,18 +87,84 @@ def _parts(word: str) -> tuple[str, ...]:
     return (core, tail) if tail else (core,)
 
 
+#: Words of letters that are one code point each in every normal form, and have one lower case.
+_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+
+
+def _word_model(data: bytes):
+    """The ids of a word of lower-case ``_LETTERS`` by the merges alone, where a JSON
+    tokenizer does nothing else with it: it maps bytes to signs and then merges. None for
+    other tokenizers."""
+    spec = json.loads(data)
+    steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers") or []
+    normal = (spec.get("normalizer") or {}).get("normalizers") or []
+    plain = len(steps) == 2 and steps[1].get("type") == "ByteLevel" and not steps[1].get("add_prefix_space") and not steps[1].get("use_regex")
+    if not plain or {n.get("type") for n in normal} != {"NFC", "Replace", "Lowercase"} or spec.get("model", {}).get("type") != "BPE" or spec.get("post_processor"):
+        return None
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_str(data.decode())
+    merge = whole.model.tokenize
+    # signs of bytes: printable ones stand for themselves, others follow from 256 on
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    sign = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in printable)}
+
+    def ids(word: bytes) -> list[int]:
+        text = word.decode() if word.isascii() else "".join(map(sign.__getitem__, word))
+        return [t.id for t in merge(text)]
+
+    words = ["a", "the", "tokenization", "\u00e9t\u00e9", "\u00fcber", "stra\u00dfe", "\u00ff\u00e0x"]
+    return ids if all(ids(w.encode()) == whole.encode(w, add_special_tokens=False).ids for w in words) else None
+
+
+def _byte_parts(word: bytes) -> tuple[bytes, ...]:
+    """``_parts`` of a word in UTF-8, without decoding what is ASCII letters."""
+    core = word.rstrip(b".,")
+    if core.isalpha():
+        return (core.lower(), word[len(core) :]) if len(core) < len(word) else (core.lower(),)
+    text = core.decode("utf-8", "replace")
+    if _LETTERS.fullmatch(text):
+        return (text.lower().encode(), word[len(core) :]) if len(core) < len(word) else (text.lower().encode(),)
+    return tuple(p.encode() for p in _parts(word.decode("utf-8", "replace")))
+
+
 class WordEncoder:
     """Ids of texts by a tokenizer that treats space-separated words by themselves.
 
     Each distinct word is encoded once while it is remembered; a text's ids
     are those of its words in a row, which is what the library returns for
-    the whole text. For other tokenizers whole texts are encoded.
+    the whole text. For other tokenizers whole texts are encoded. Of unknown words,
+    those of plain letters go to the merges alone, the others are handed to the
+    library many in a row, with a mark between them whose one id shows where a word
+    ends.
     """
 
     def __init__(self, kind: str, data: bytes):
         self.encode = _piece_encoder(data) if kind == ".model" else _json_encoder(data)
         self.by_word = kind == ".json" and splits_at_spaces(data)
         self.memo: dict[bytes, bytes] = {}
+        self.mark = next(((m, ids[0]) for m in MARKS if len(ids := self.encode([m])[0]) == 1), None) if self.by_word else None
+        self.merge = _word_model(data) if self.by_word else None
+
+    def _learn(self, words: list[bytes]) -> None:
+        import numpy as np
+
+        if self.merge:
+            known = {w: array("I", self.merge(w)).tobytes() for w in words if w.isalpha() or _LETTERS.fullmatch(w.decode())}
+            self.memo.update(known)
+            words = [w for w in words if w not in known]
+        for i in range(0, len(words), 4096):
+            some = words[i : i + 4096]
+            if self.mark:
+                flat = np.asarray(self.encode([f" {self.mark[0]} ".join([w.decode() for w in some])])[0], "<u4")
+                ends = np.flatnonzero(flat == self.mark[1])
+                # a word that has the mark's id itself makes one too many
+                if len(ends) == len(some) - 1:
+                    data = flat.tobytes()
+                    at = [-4, *(4 * ends).tolist(), len(data)]
+                    self.memo.update((w, data[a + 4 : b]) for w, a, b in zip(some, at, at[1:], strict=False))
+                    continue
+            self.memo.update((w, array("I", x).tobytes()) for w, x in zip(some, self.encode([w.decode() for w in some]), strict=True))
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers; null is empty."""
@@ -105,19 +173,14 @@ class WordEncoder:
         texts = [t or "" for t in texts]
         if not self.by_word:
             return [np.asarray(x, "<u4").tobytes() for x in self.encode(texts)]
-        if len(self.memo) > MEMO:
-            self.memo.clear()
         memo = self.memo
+        if len(memo) > MEMO:
+            memo.clear()
         split = [t.encode("utf-8", "surrogatepass").split() for t in texts]
-        new = {w for ws in split for w in ws if w not in memo}
-        parts = {w: _parts(w.decode("utf-8", "replace")) for w in new}
-        unknown = [p for p in {p for own in parts.values() for p in own} if p.encode() not in memo]
-        for i in range(0, len(unknown), 10_000):
-            some = unknown[i : i + 10_000]
-            for p, x in zip(some, self.encode(some), strict=True):
-                memo[p.encode()] = array("I", x).tobytes()
-        for w, own in parts.items():
-            memo[w] = b"".join(memo[p.encode()] for p in own)
+        new = {w: _byte_parts(w) for w in set().union(*split).difference(memo)}
+        self._learn(list(set().union(*new.values()).difference(memo)))
+        for w, own in new.items():
+            memo[w] = memo[own[0]] if len(own) == 1 else b"".join([memo[p] for p in own])
         get = memo.__getitem__
         return [b"".join(map(get, ws)) for ws in split]
 

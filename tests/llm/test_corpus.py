@@ -493,7 +493,8 @@ def test_encoders_equal_the_libraries_on_awkward_strings(spark):
     texts = awkward_strings(4000, 8)
     t = Tokenizer.from_file(WORD)
     own = WordEncoder(".json", open(WORD, "rb").read())
-    assert own.by_word
+    assert own.by_word and own.mark and own.merge
+    texts += [" ".join("".join(r.choice("abEé\u00fc\u00df\u00d6\u00ffz\u00b5\u00aa\u0131.,'|") for _ in range(r.randrange(1, 12))) for _ in range(40)) for r in map(random.Random, range(200))]
     for a, b in zip(own.ids(texts), t.encode_batch(texts, add_special_tokens=False), strict=True):
         assert np.frombuffer(a, "<u4").tolist() == b.ids
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(BYTE, "rb"))}

@@ -170,13 +170,14 @@ def _between(most: int, numerator: int, denominator: int):
 
     def run(table: pa.Table) -> pa.Table:
         ids, comp = table.column("id").to_numpy(), table.column("component").to_numpy()
-        probe = table.column("probe").to_numpy(zero_copy_only=False)
+        # where a bucket is whole, its members are held against one another and are here once
+        probe, base = (table.column("probe").fill_null(p).to_numpy(zero_copy_only=False) == p for p in (True, False))
         bits, bands = _rows_of(table.column("sketch")), _rows_of(table.column("bands"))
         key = np.int64(table.column("key")[0].as_py()).view(np.uint64)
         lists = table.column("shingles").combine_chunks()
         values, ends = lists.flatten().to_numpy(), np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
         size = np.diff(ends)
-        base = np.flatnonzero(~probe)
+        base = np.flatnonzero(base)
         # every shingle of the base with the members that have it
         owner = np.repeat(np.arange(len(base)), size[base])
         held = np.concatenate([np.empty(0, np.int64), *(values[ends[i] : ends[i + 1]] for i in base)])
@@ -254,9 +255,11 @@ def _judged(docs: DataFrame, numerator: int, denominator: int, k: int, lower: bo
         # a large bucket is cut into parts, and each two parts meet in a task
         own, other = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
         member = ["id", "component", "sketch", "bands", "shingles"]
-        probes = deal.select("key", own.alias("part"), other.alias("against"), *member, F.lit(True).alias("probe"))
-        bases = deal.select("key", other.alias("part"), own.alias("against"), *member, F.lit(False).alias("probe"))
-        more = probes.unionByName(bases).groupBy("key", "part", "against").applyInArrow(_between(most, numerator, denominator), "a long, b long")
+        whole = deal.filter("parts = 1").select("key", F.lit(0).alias("part"), F.lit(0).alias("against"), *member, F.lit(None).cast("boolean").alias("probe"))
+        cut = deal.filter("parts > 1")
+        probes = cut.select("key", own.alias("part"), other.alias("against"), *member, F.lit(True).alias("probe"))
+        bases = cut.select("key", other.alias("part"), own.alias("against"), *member, F.lit(False).alias("probe"))
+        more = whole.unionByName(probes).unionByName(bases).groupBy("key", "part", "against").applyInArrow(_between(most, numerator, denominator), "a long, b long")
         parts = materialize(components(links.unionByName(materialize(more, "links"))), "components")
 
         ranked = classes.select("id", "rep").join(parts, "id")

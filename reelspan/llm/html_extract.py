@@ -306,7 +306,7 @@ def page_text(blocks: list[tuple[int, str, bool, bool]], nodes: list[tuple[int,
     within = sum(len(text) for _, text, named, main in blocks if main and not named)
     seen = sum(len(text) for _, text, named, _ in blocks if not named)
     # a mark that holds little of the text tells little of the rest
-    mark = min(1.0, 2 * within / seen) if seen else 0.0
+    mark = min(1.0, 4 * within / seen) if seen else 0.0
     kept = []
     for path, text, named, main in blocks:
         evidence = WITHIN if main and not named else 0.0

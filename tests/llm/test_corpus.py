@@ -404,6 +404,22 @@ def test_planted_text_is_kept_and_noise_removed(spark):
     assert kept == sum(n for _, n in made) and kept == sum(map(len, got.values()))
 
 
+def test_hot_hosts_are_dealt_to_parts(spark, monkeypatch):
+    """One host with half of all pages, whole or in parts, with repeated rows and none of an address."""
+    def page(i):
+        host = "hot.example" if i % 2 else f"h{i % 40}.example"
+        return (i, f"https://{host}/{i}" if i % 9 else None, f"<body><article><p>Story {i}</p><div>Same line</div></article></body>" if i % 7 else None)
+
+    rows = [page(i) for i in range(400)] + [page(i) for i in range(50)] + [(None, "https://hot.example/x", "<p>x</p>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit("clash")).withColumn("_part", F.lit("clash"))
+    got = []
+    for hot in (0, html_extract.HOT):  # no host is hot at 0
+        monkeypatch.setattr(html_extract, "HOT", hot)
+        got.append(sorted((-1 if r["page_id"] is None else r["page_id"], r["text"]) for r in html_extract.extract(pages).collect()))
+    assert got[0] == got[1] and len(got[0]) == len(rows)
+    assert all(t == ("" if i >= 0 and i % 7 == 0 else f"Story {i}" if i % 2 and i % 9 else t) for i, t in got[1] if i >= 0)
+
+
 def test_pages_of_any_depth_and_length(spark):
     import time
 

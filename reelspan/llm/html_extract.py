@@ -28,11 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ship_package
-from .runtime import materialize, pieces
+from .runtime import dealt_join, materialize, pieces
 from .textkit import chunks
 
-#: A host with more than one in HOT of all rows, so one of fewer than HOT, is dealt to parts of about PART_BYTES as stored.
-HOT, PART_BYTES = 10_000, 16 << 20
+#: Stored bytes of the parts that a hot host's pages are dealt to.
+PART_BYTES = 16 << 20
 #: Blocks below this importance go; a node starts with the importance PRIOR, as if WEIGHT pages had told so.
 IMPORTANCE, PRIOR, WEIGHT = 0.3, 0.5, 3
 #: Evidence: a telling name or tag, a place beside the page's article, both, a place within it.
@@ -340,15 +340,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     # what a single page shows has the prior's importance, as what no page has shown
     nodes = materialize(style_trees(parsed).filter("pages > 1"), "style-trees")
     # nodes of a host: as many as its templates have, whatever its pages
-    by_host = nodes.groupBy(F.col("host").alias("_host")).agg(F.collect_list(F.struct("path", "pages", "content", "presentation")).alias("_tree"))
-    # a hot host's pages are dealt to parts, each with the host's nodes
-    size = max(parsed.count(), 1)
-    hosts = parsed.groupBy(F.col("host").alias("_hot")).agg(F.count("*").alias("_rows")).filter(F.col("_rows") * HOT > size)
-    hosts = F.broadcast(materialize(hosts.select("_hot", F.ceil(F.col("_rows") / size * pieces(parsed, PART_BYTES)).cast("int").alias("_parts")), "hot-hosts"))
-    parts = F.coalesce("_parts", F.lit(1))
-    trees = by_host.join(hosts, F.col("_host") == F.col("_hot"), "left").select("_host", "_tree", F.explode(F.sequence(F.lit(0), parts - 1)).alias("_part"))
-    dealt = parsed.join(hosts, F.col("host") == F.col("_hot"), "left").withColumn("_own", F.pmod(F.xxhash64("page_id", "page"), parts).cast("int"))
-    marked = dealt.join(trees, (F.col("host") == F.col("_host")) & (F.col("_own") == F.col("_part")), "left").select("page_id", "url", "host", "blocks", F.transform("nodes", lambda n: F.struct(n["path"], n["parent"], n["branch"])).alias("nodes"), "_tree")
+    by_host = nodes.groupBy("host").agg(F.collect_list(F.struct("path", "pages", "content", "presentation")).alias("_tree"))
+    sizes = parsed.groupBy("host").agg(F.count("*").alias("rows"))
+    marked = dealt_join(parsed, by_host, "host", ["page_id", "page"], sizes, pieces(parsed, PART_BYTES)).select("page_id", "url", "host", "blocks", F.transform("nodes", lambda n: F.struct(n["path"], n["parent"], n["branch"])).alias("nodes"), "_tree")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

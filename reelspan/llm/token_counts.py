@@ -15,7 +15,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import materialize, partitions, pieces, scratch_path
+from .runtime import dealt_join, materialize, partitions, pieces, scratch_path
 from .textkit import chunks
 from .tokenise import Vocabulary, encoder
 
@@ -59,7 +59,8 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, limi
     text = F.coalesce(F.col(text_col), F.lit(""))
     keyed = materialize(docs.select(F.col(id_col).alias("doc_id"), content_digest(F.col(text_col)).alias("digest"), F.octet_length(text).cast("long").alias("n_bytes")), "counts-keyed")
     # one row stands for each missing content; only digests and ids are shuffled to find it
-    misses = keyed.groupBy("digest").agg(F.min("doc_id").alias("_id")).join(stored_counts(spark, cache, vocabulary.digest), "digest", "left_anti")
+    contents = materialize(keyed.groupBy("digest").agg(F.min("doc_id").alias("_id"), F.count("*").alias("rows")), "counts-contents")
+    misses = contents.select("digest", "_id").join(stored_counts(spark, cache, vocabulary.digest), "digest", "left_anti")
     # rows meet by digest and id, so copies are dealt out; as many partitions as keep the keys of each few
     n = partitions(pieces(docs.select(id_col, text_col), 16 << 20))
     wanted = misses.select(F.xxhash64("digest", "_id").alias("_key")).repartition(n, "_key")
@@ -77,4 +78,5 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str | None = None, limi
 
     first.select("_digest", "text").mapInArrow(count, CACHE).write.parquet(f"{cache}/{uuid.uuid4().hex}")
     known = stored_counts(spark, cache, vocabulary.digest)
-    return keyed.join(known, "digest", "left").select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
+    counted = dealt_join(keyed, known, "digest", ["doc_id"], contents, pieces(keyed, 16 << 20))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

@@ -6,13 +6,14 @@ import json
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from reelspan.llm import byte_bpe, chat_format, components, exact_dedup, fingerprints, html_extract, near_dedup, packing, substring_dedup, token_counts, toxicity
+from reelspan.llm import byte_bpe, chat_format, components, exact_dedup, fingerprints, html_extract, near_dedup, packing, runtime, substring_dedup, token_counts, toxicity
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 WORD = public_tokenizers.path("word_bpe_49k.json")
@@ -404,6 +405,18 @@ def test_planted_text_is_kept_and_noise_removed(spark):
     assert kept == sum(n for _, n in made) and kept == sum(map(len, got.values()))
 
 
+def test_hot_keys_are_dealt_to_parts(spark):
+    """Every row has its key's row of the right side once, hot keys, keys without a row and null keys too."""
+    rows = [("hot", i) for i in range(300)] + [("other", i) for i in range(3)] + [("none", i) for i in range(200)] + [("hot", None), (None, 1)]
+    left = runtime.materialize(spark.createDataFrame(rows, "key string, id long"), "left")
+    right = spark.createDataFrame([("hot", 1), ("other", 2), ("unused", 3)], "key string, value long")
+    sizes = left.groupBy("key").agg(F.count("*").alias("rows"))
+    joined = runtime.dealt_join(left, right, "key", ["id"], sizes, 50)
+    assert joined.columns == ["key", "id", "value"]
+    assert Counter(map(tuple, joined.collect())) == Counter((k, i, {"hot": 1, "other": 2}.get(k)) for k, i in rows)
+    assert runtime.dealt_join(left.limit(0), right, "key", ["id"], sizes.limit(0), 50).count() == 0
+
+
 def test_hot_hosts_are_dealt_to_parts(spark, monkeypatch):
     """One host with half of all pages, whole or in parts, with repeated rows and none of an address."""
     def page(i):
@@ -413,8 +426,8 @@ def test_hot_hosts_are_dealt_to_parts(spark, monkeypatch):
     rows = [page(i) for i in range(400)] + [page(i) for i in range(50)] + [(None, "https://hot.example/x", "<p>x</p>")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.lit("clash")).withColumn("_part", F.lit("clash"))
     got = []
-    for hot in (0, html_extract.HOT):  # no host is hot at 0
-        monkeypatch.setattr(html_extract, "HOT", hot)
+    for hot in (0, runtime.HOT):  # no host is hot at 0
+        monkeypatch.setattr(runtime, "HOT", hot)
         got.append(sorted((-1 if r["page_id"] is None else r["page_id"], r["text"]) for r in html_extract.extract(pages).collect()))
     assert got[0] == got[1] and len(got[0]) == len(rows)
     assert all(t == ("" if i >= 0 and i % 7 == 0 else f"Story {i}" if i % 2 and i % 9 else t) for i, t in got[1] if i >= 0)

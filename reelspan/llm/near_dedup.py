@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from ..session import ship_package
 from .components import components
-from .runtime import materialize, scratch_tables, text_key, without
+from .runtime import dealt_join, materialize, pieces, scratch_tables, text_key, without
 from .textkit import LOWER, U64, chunks, minhash, mix, shingles, universal, words
 
 #: MinHash samples in a sketch; the first BANDS * ROWS also make the band keys.
@@ -38,6 +38,8 @@ SKETCH_BITS = 512
 LONG_BANDS, LONG_ROWS = 170, 12
 #: Members of a bucket, and bytes of their sets, that one task holds against as many others of it.
 PROBES, SET_BYTES = 4096, 24 << 20
+#: Stored bytes of the parts that a hot component's or set's rows are dealt to.
+PART_BYTES = 16 << 20
 _SKETCH = "doc_id long, text_key long, n_shingles long, digest binary, bands array<long>, sketch array<long>"
 
 
@@ -122,7 +124,7 @@ def _differing_bits(x: str, y: str):
     return sum((F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(words_)), F.lit(0))
 
 
-def _confirm(pairs: DataFrame, texts: DataFrame, numerator: int, denominator: int, k: int, lower: bool) -> DataFrame:
+def confirm_pairs(pairs: DataFrame, texts: DataFrame, numerator: int, denominator: int, k: int, lower: bool) -> DataFrame:
     """The (a, b) of ``pairs`` whose full shingle sets are similar enough, with all
     tried pairs: (a, b, linked)."""
 
@@ -239,7 +241,7 @@ def _judged(docs: DataFrame, numerator: int, denominator: int, k: int, lower: bo
             .join(sketches.select(F.col("id").alias("b"), F.col("sketch").alias("q")), "b")
             .filter(_differing_bits("p", "q") <= most).select("a", "b")
         )
-        links = materialize(_confirm(near, texts, numerator, denominator, k, lower).filter("linked").select("a", "b"), "links")
+        links = materialize(confirm_pairs(near, texts, numerator, denominator, k, lower).filter("linked").select("a", "b"), "links")
         parts = materialize(components(links), "components")
 
         labelled = members.select("key", "id", "bytes").join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -262,11 +264,14 @@ def _judged(docs: DataFrame, numerator: int, denominator: int, k: int, lower: bo
         more = whole.unionByName(probes).unionByName(bases).groupBy("key", "part", "against").applyInArrow(_between(most, numerator, denominator), "a long, b long")
         parts = materialize(components(links.unionByName(materialize(more, "links"))), "components")
 
-        ranked = classes.select("id", "rep").join(parts, "id")
-        least = ranked.groupBy("component").agg(F.min("rep").alias("least"))
-        by_class = classes.join(parts, "id", "left").join(least, "component", "left")
-        by_class = made.keep(materialize(by_class.select(F.col("digest").alias("_digest"), F.coalesce("least", "rep").alias("_component")), "components-of-classes"))
-    whole = found.join(by_class, (F.col("digest") == F.col("_digest")) & (F.col("n_shingles") > 0), "left")
+        # rows of a large component, and of a set that many texts share, are dealt to several tasks
+        ranked = materialize(classes.select("id", "digest", "rep").join(parts, "id"), "ranked")
+        groups = ranked.groupBy("component").agg(F.min("rep").alias("_component"), F.count("*").alias("rows"))
+        named = dealt_join(ranked, groups.select("component", "_component"), "component", ["id"], groups.select("component", "rows"), pieces(ranked, PART_BYTES)).select("digest", "_component")
+        alone = classes.join(parts.select("id"), "id", "left_anti").select("digest", F.col("rep").alias("_component"))
+        by_class = made.keep(materialize(named.unionByName(alone), "components-of-classes"))
+        rows = found.select("doc_id", "text_key", "n_shingles", "digest")
+        whole = dealt_join(rows, by_class, "digest", ["doc_id", "text_key"], rows.groupBy("digest").agg(F.count("*").alias("rows")), pieces(rows, PART_BYTES), made)
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("_component", "doc_id"))
     return whole.select("doc_id", "text_key", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
 

@@ -137,15 +137,17 @@ def partitions(n: int) -> int:
 HOT = 10_000
 
 
-def dealt_join(left: DataFrame, right: DataFrame, key: str, row: list[str], sizes: DataFrame, n: int) -> DataFrame:
+def dealt_join(left: DataFrame, right: DataFrame, key: str, row: list[str], sizes: DataFrame, n: int, made: Scratch | None = None) -> DataFrame:
     """``left``, a written table, with the columns of ``right``, which has a row for each
     ``key`` or none. The rows of a hot key are dealt, by the columns ``row``, to as many
     parts as its share of ``n``, each of which has a copy of the key's row in ``right``.
-    ``sizes`` are the ``rows`` of each key in ``left``."""
+    ``sizes`` are the ``rows`` of each key in ``left``. What the result reads besides
+    its inputs is kept by ``made``."""
     size = max(left.count(), 1)
     hot = sizes.filter(F.col("rows") * HOT > size).select(key, F.ceil(F.col("rows") / size * n).cast("int").alias("_parts")).filter("_parts > 1")
     # fewer than HOT rows, whatever the input
-    hot = F.broadcast(materialize(hot, "hot-keys"))
+    hot = materialize(hot, "hot-keys")
+    hot = F.broadcast(made.keep(hot) if made else hot)
     parts = F.coalesce("_parts", F.lit(1))
     copies = right.join(hot, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
     dealt = left.join(hot, key, "left").withColumn("_part", F.pmod(F.xxhash64(*row), parts).cast("int")).drop("_parts")

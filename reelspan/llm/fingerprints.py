@@ -9,6 +9,7 @@ Jaccard similarity of their shingles.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,14 +18,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .near_dedup import shingle_sets
-from .runtime import materialize, partitions, pieces
+from ..session import ship_package
+from .near_dedup import PART_BYTES, confirm_pairs, shingle_sets
+from .runtime import dealt_join, materialize, partitions, pieces, text_key
 from .textkit import U64, chunks, minhash, mix, shingles, universal, words
 
 PERMUTATIONS = 128
 SHINGLE = 5
 #: Bands that a signature is cut into.
 BANDS = 32
+#: Classes of a bucket that one task holds against as many others of it.
+MEMBERS = 1024
 _PAIR = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double"
 
 
@@ -149,30 +153,82 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return rows.filter("kind = 0").select(*bridged.columns).unionByName(bridged)
 
 
-def similar_pairs(docs: DataFrame, numerator: int = 4, denominator: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(a, b) of the rows, a < b by id, whose sets of distinct shingles have denominator *
-    intersection >= numerator * union. Texts without words and null ids have no pair.
+def least_equal(threshold: float) -> int:
+    """Two sets as similar as ``threshold`` have fewer equal bytes with probability 1e-9 at most."""
+    p, below = threshold + (1 - threshold) / 256, 0.0
+    for n in range(PERMUTATIONS):
+        below += math.comb(PERMUTATIONS, n) * p**n * (1 - p) ** (PERMUTATIONS - n)
+        if below > 1e-9:
+            return n
+    return PERMUTATIONS
 
-    Signatures are cut into ``BANDS`` bands of equal bytes, rows that share a band are
-    joined, and each pair is verified once on full shingle sets. At similarity 0.8
-    the bands miss a pair with probability 5e-8, at 0.5 with 0.13. Ids must be
-    unique; the candidates of a band grow with the square of its rows.
-    """
-    kept = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).filter("id IS NOT NULL")
-    prints = materialize(fingerprints(kept, "id", "text").filter("fingerprint <> ''"), "signatures")
-    width = 2 * PERMUTATIONS // BANDS
-    bands = F.array(*(F.struct(F.lit(i).alias("band"), F.substring("fingerprint", 1 + i * width, width).alias("key")) for i in range(BANDS)))
-    keyed = prints.select(F.col("doc_id").alias("id"), F.explode(bands).alias("k"))
-    pairs = keyed.toDF("a", "k").join(keyed.toDF("b", "k"), "k").filter("a < b").select("a", "b").distinct()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            near = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                one, two = shingle_sets([x.encode(), y.encode()], SHINGLE, False)
-                both = len(np.intersect1d(one, two, assume_unique=True))
-                near.append(denominator * both >= numerator * (len(one) + len(two) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
-
-    whole = pairs.join(kept.toDF("a", "x"), "a").join(kept.toDF("b", "y"), "b")
-    return whole.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, text_key, a digest of the shingle set and the signature of each text with words."""
+    for batch in batches:
+        for rows in chunks(zip(*(c.to_pylist() for c in batch.columns), strict=True), lambda r: len(r[2])):
+            rows = [(*r[:2], r[2].encode()) for r in rows if r[2].encode().split()]
+            if rows:
+                texts = [r[2] for r in rows]
+                digests = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in shingle_sets(texts, SHINGLE, False)]
+                own = [s.tobytes() for s in signatures(texts)]
+                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array(digests, pa.binary()), pa.array(own, pa.binary())], ["doc_id", "text_key", "digest", "signature"])
+
+
+def _alike(least: int):
+    """The pairs (a, b) of a bucket's two parts (or of one) whose signatures have ``least``
+    equal bytes or more, each in the first band that it shares."""
+
+    def run(table: pa.Table) -> pa.Table:
+        ids, side = table.column("id").to_numpy(), table.column("side").to_numpy()
+        band, low, high = (table.column(c)[0].as_py() for c in ("band", "low", "high"))
+        signed = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(len(ids), -1)
+        bases, a, b = np.flatnonzero(side == low), [], []
+        for i in np.flatnonzero(side == high):
+            base = bases[ids[bases] < ids[i]] if low == high else bases
+            same = signed[base] == signed[i]
+            near = same.sum(axis=1) >= least
+            shared = same[near].reshape(-1, BANDS, PERMUTATIONS // BANDS).all(axis=2)
+            found = ids[base[near][shared[:, band] & (shared.argmax(axis=1) == band)]]
+            a.append(np.minimum(found, ids[i]))
+            b.append(np.maximum(found, ids[i]))
+        return pa.table({c: pa.array(np.concatenate([np.empty(0, np.int64), *v]), pa.int64()) for c, v in (("a", a), ("b", b))})
+
+    return run
+
+
+def similar_pairs(docs: DataFrame, numerator: int = 4, denominator: int = 5, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(doc_id, class_id) of each row whose text has words, and the linked (a, b) of the
+    classes, a < b. A class has the texts of one set of distinct shingles, and any
+    number for an id; two are linked if denominator * intersection >= numerator * union
+    of their sets.
+
+    Signatures of classes are cut into ``BANDS`` bands of equal bytes and those that
+    share a band are joined: buckets are cut into parts of about ``MEMBERS``, each two
+    parts meet in a task, and a task hands on only pairs whose whole signatures are
+    near. Those are verified on full shingle sets. At similarity 0.8 bands and
+    signatures miss a pair with probability 5e-8, at 0.5 with 0.13. Null texts count
+    as empty and have no class, as texts without words; null ids and rows that repeat
+    an id count as rows of their own, other columns are ignored, and an empty table
+    gives two empty results.
+    """
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(text_col).alias("text_key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    ship_package(docs.sparkSession)
+    signed = materialize(source.mapInArrow(_signed, "doc_id long, text_key long, digest binary, signature binary"), "signatures")
+    first = signed.groupBy("digest").agg(F.min(F.struct("text_key", "doc_id", "signature")).alias("first"))
+    classes = materialize(first.select("digest", "first.*", F.monotonically_increasing_id().alias("id")), "classes")
+    rows = signed.select("doc_id", "text_key", "digest")
+    sizes = rows.groupBy("digest").agg(F.count("*").alias("rows"))
+    members = dealt_join(rows, classes.select("digest", F.col("id").alias("class_id")), "digest", ["doc_id", "text_key"], sizes, pieces(rows, PART_BYTES)).select("doc_id", "class_id")
+
+    width = PERMUTATIONS // BANDS
+    bands = F.array(*(F.struct(F.lit(i).alias("band"), F.xxhash64(F.substring("signature", 1 + i * width, width)).alias("key")) for i in range(BANDS)))
+    keyed = classes.select("id", "signature", F.explode(bands).alias("k")).select("id", "signature", "k.*")
+    parts = keyed.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1").select("band", "key", F.ceil(F.col("n") / MEMBERS).cast("int").alias("parts"))
+    dealt = keyed.join(parts, ["band", "key"]).withColumn("side", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.select("band", "key", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "id", "signature")
+    near = materialize(dealt.groupBy("band", "key", "low", "high").applyInArrow(_alike(least_equal(numerator / denominator)), "a long, b long"), "near-pairs")
+
+    asked = classes.join(near.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "id", "left_semi").select("id", F.col("doc_id").alias("rep"), F.col("text_key").alias("rep_key"))
+    texts = source.join(asked, F.col("doc_id").eqNullSafe(F.col("rep")) & (F.col("text_key") == F.col("rep_key"))).groupBy("id").agg(F.first("text").alias("text"))
+    return members, confirm_pairs(near, materialize(texts, "texts"), numerator, denominator, SHINGLE, False).filter("linked").select("a", "b")

@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import itertools
 import json
 import random
 import re
@@ -303,13 +304,31 @@ def test_toxicity_rows(spark):
     assert toxicity.toxicity_scores(empty(spark), toxicity.fit_on(df, labels)).count() == 0
 
 
-def test_similar_pairs_against_brute_force(spark):
+@pytest.mark.parametrize("most", [1024, 3])
+def test_similar_pairs_against_brute_force(spark, monkeypatch, most):
+    monkeypatch.setattr(fingerprints, "MEMBERS", most)
     base = words(150, 7)
-    texts = [" ".join(base[:i] + ["new"] * (i % 3) + base[i:]) for i in range(0, 150, 15)] + [" ".join(words(60, s)) for s in range(8)] + ["", "one", "one", " ".join(base[40:])]
-    docs = spark.createDataFrame([*enumerate(texts), (None, texts[0]), (99, None)], "doc_id long, text string")
-    sets = [{tuple(t.split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))} if t.split() else set() for t in texts]
-    want = {(a, b) for b in range(len(texts)) for a in range(b) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]) > 0}
-    assert len(want) > 20 and {tuple(r) for r in fingerprints.similar_pairs(docs).collect()} == want
+    texts = [" ".join(base[:i] + ["new"] * (i // 15 % 4) + base[i:]) for i in range(0, 150, 15)] + [" ".join(words(60, s)) for s in range(8)] + ["", "one", "one", " ".join(base[40:])]
+    rows = [*enumerate(texts), (None, texts[1]), (99, None), (3, " ".join(base[50:])), (3, texts[4]), (None, " ".join(base[30:]))]
+    members, pairs = fingerprints.similar_pairs(spark.createDataFrame(rows, "doc_id long, text string"))
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))} if (t or "").split() else set() for _, t in rows]
+    classes = {}
+    for r in members.collect():
+        classes.setdefault(r["class_id"], []).append(r["doc_id"])
+    by_set = {}
+    for (i, _), s in zip(rows, sets, strict=True):
+        by_set.setdefault(frozenset(s), []).append(i)
+    by_set.pop(frozenset())
+    ids = lambda many: sorted(map(str, many))
+    assert sorted(map(ids, classes.values())) == sorted(map(ids, by_set.values()))
+    want = sorted(sorted((ids(by_set[a]), ids(by_set[b]))) for a, b in itertools.combinations(by_set, 2) if 5 * len(a & b) >= 4 * len(a | b))
+    got = pairs.collect()
+    assert all(r["a"] < r["b"] for r in got) and len(want) > 20
+    assert sorted(sorted((ids(classes[r["a"]]), ids(classes[r["b"]]))) for r in got) == want
+
+
+def test_similar_pairs_of_nothing(spark):
+    assert [df.count() for df in fingerprints.similar_pairs(empty(spark))] == [0, 0]
 
 
 PAGE = """<html><head><title>T</title><script>var a="<p>no</p>";</script></head><body><header class="site-header">Logo</header>

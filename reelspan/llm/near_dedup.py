@@ -207,9 +207,12 @@ def _between(most: int, numerator: int, denominator: int):
 
 def _mixed(members: DataFrame) -> DataFrame:
     """Of ``members`` (key, id, component), those in buckets of different components, with
-    the number of the bucket's members and the bytes of their sets (by ``bytes``)."""
-    mixed = members.groupBy("key").agg(F.min("component").alias("p"), F.max("component").alias("q"), F.count("*").alias("n"), F.sum("bytes").alias("total")).filter("p < q").select("key", "n", "total")
-    return members.join(mixed, "key")
+    the number of the bucket's members and the bytes of their sets (by ``bytes``). Members
+    of hot buckets are dealt to several tasks."""
+    members = materialize(members, "bucket-members")
+    buckets = materialize(members.groupBy("key").agg(F.min("component").alias("p"), F.max("component").alias("q"), F.count("*").alias("n"), F.sum("bytes").alias("total")), "buckets")
+    mixed = dealt_join(members, buckets.filter("p < q").select("key", "n", "total"), "key", ["id"], buckets.select("key", F.col("n").alias("rows")), pieces(members, PART_BYTES))
+    return mixed.filter("n IS NOT NULL")
 
 
 def _judged(docs: DataFrame, numerator: int, denominator: int, k: int, lower: bool, id_col: str, text_col: str) -> DataFrame:

@@ -110,13 +110,45 @@ def _word_model(data: bytes):
     sign = {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in printable)}
 
     def ids(word: bytes) -> list[int]:
-        text = word.decode() if word.isascii() else "".join(map(sign.__getitem__, word))
+        text = word.decode() if word.isalpha() else "".join(map(sign.__getitem__, word))
         return [t.id for t in merge(text)]
 
-    words = ["a", "the", "tokenization", "\u00e9t\u00e9", "\u00fcber", "stra\u00dfe", "\u00ff\u00e0x"]
+    words = ["a", "the", "tokenization", "\u00e9t\u00e9", "\u00fcber", "stra\u00dfe", "\u00ff\u00e0x", "7", "\u00bd", "'s", "'ll", "...", "?!\u00bb", "\x00\x7f\u00ad"]
     return ids if all(ids(w.encode()) == whole.encode(w, add_special_tokens=False).ids for w in words) else None
 
 
+#: The split that ``_PRETOKENS`` makes of lower-case Latin-1, and the letters, numbers and
+#: white space in it.
+_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+_L, _N, _S = rb"a-zA-Z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff", rb"0-9\xb2\xb3\xb9\xbc-\xbe", rb"\x09-\x0d\x20\x85\xa0"
+_PRETOKENS = re.compile(rb"[%b]+|'(?:s|t|re|ve|m|ll|d)|[%b]|[^%b]+" % (_L, _N, _S + _L + _N))
+_LOWER = bytes(ord(chr(i).lower()) for i in range(256))
+
+
+def _special_in_latin(data: bytes) -> list[bytes] | None:
+    """The added tokens of a JSON tokenizer that Latin-1 can hold, in lower case, if it does
+    nothing before its merges but lower texts of Latin-1 (which are in normal form) and cut
+    them by ``_SPLIT``; else None. For tokenizers that ``splits_at_spaces`` and
+    ``_word_model`` take."""
+    spec = json.loads(data)
+    split = spec["pre_tokenizer"]["pretokenizers"][0]
+    if split.get("pattern") != {"Regex": _SPLIT} or len(spec["normalizer"]["normalizers"]) != 3:
+        return None
+    added = [t["content"] for t in spec.get("added_tokens", [])]
+    return [c.encode("latin-1").translate(_LOWER) for c in added if max(c) <= "\xff"]
+
+
+class _Merged(dict):
+    """Ids of pre-tokens of Latin-1, by the merges when they are first asked for."""
+
+    def __init__(self, merge):
+        self.merge = merge
+
+    def __missing__(self, token: bytes) -> bytes:
+        found = self[token] = array("I", self.merge(token if token.isascii() else token.decode("latin-1").encode())).tobytes()
+        return found
+
+
 def _byte_parts(word: bytes) -> tuple[bytes, ...]:
     """``_parts`` of a word in UTF-8, without decoding what is ASCII letters."""
     core = word.rstrip(b".,")
@@ -133,10 +165,11 @@ class WordEncoder:
 
     Each distinct word is encoded once while it is remembered; a text's ids
     are those of its words in a row, which is what the library returns for
-    the whole text. For other tokenizers whole texts are encoded. Of unknown words,
-    those of plain letters go to the merges alone, the others are handed to the
-    library many in a row, with a mark between them whose one id shows where a word
-    ends.
+    the whole text. For other tokenizers whole texts are encoded. Texts of Latin-1
+    without added tokens are cut into pre-tokens here, where the tokenizer's split is
+    known, and those go to the merges alone. Of other texts' unknown words, those of
+    plain letters go to the merges alone, the others are handed to the library many in
+    a row, with a mark between them whose one id shows where a word ends.
     """
 
     def __init__(self, kind: str, data: bytes):
@@ -145,6 +178,8 @@ class WordEncoder:
         self.memo: dict[bytes, bytes] = {}
         self.mark = next(((m, ids[0]) for m in MARKS if len(ids := self.encode([m])[0]) == 1), None) if self.by_word else None
         self.merge = _word_model(data) if self.by_word else None
+        self.special = _special_in_latin(data) if self.merge else None
+        self.merged = _Merged(self.merge)
 
     def _learn(self, words: list[bytes]) -> None:
         import numpy as np
@@ -166,6 +201,16 @@ class WordEncoder:
                     continue
             self.memo.update((w, array("I", x).tobytes()) for w, x in zip(some, self.encode([w.decode() for w in some]), strict=True))
 
+    def _latin_ids(self, text: str) -> bytes | None:
+        """A text's ids by its pre-tokens; None where it isn't Latin-1 or may have an added token."""
+        try:
+            low = text.encode("latin-1").translate(_LOWER)
+        except UnicodeEncodeError:
+            return None
+        if any(s in low for s in self.special):
+            return None
+        return b"".join(map(self.merged.__getitem__, _PRETOKENS.findall(low)))
+
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers; null is empty."""
         import numpy as np
@@ -173,9 +218,17 @@ class WordEncoder:
         texts = [t or "" for t in texts]
         if not self.by_word:
             return [np.asarray(x, "<u4").tobytes() for x in self.encode(texts)]
+        if len(self.memo) + len(self.merged) > MEMO:
+            self.memo.clear()
+            self.merged.clear()
+        if self.special is None:
+            return self._ids_by_word(texts)
+        found = [self._latin_ids(t) for t in texts]
+        rest = iter(self._ids_by_word([t for t, x in zip(texts, found, strict=True) if x is None]))
+        return [next(rest) if x is None else x for x in found]
+
+    def _ids_by_word(self, texts: list[str]) -> list[bytes]:
         memo = self.memo
-        if len(memo) > MEMO:
-            memo.clear()
         split = [t.encode("utf-8", "surrogatepass").split() for t in texts]
         new = {w: _byte_parts(w) for w in set().union(*split).difference(memo)}
         self._learn(list(set().union(*new.values()).difference(memo)))

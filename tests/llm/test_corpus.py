@@ -552,6 +552,27 @@ def test_encoders_equal_the_libraries_on_awkward_strings(spark):
     assert sorted((x["doc_id"], x["ids"], bytes(x["decoded"])) for x in got) == sorted((i % 3900, e.encode_ordinary(x), x.encode()) for i, x in enumerate(texts))
 
 
+def test_latin_texts_go_to_the_merges_alone():
+    """Every sign of Latin-1, contractions and added tokens in any case; the library is asked only
+    where a text has an added token or other signs."""
+    from tokenizers import Tokenizer
+
+    from reelspan.llm.tokenise import WordEncoder
+
+    r = random.Random(6)
+    parts = [chr(i) for i in range(256)] + ["'s", "'T", "'re", "'VE", "'ll", "'d", "don't", "the", "THE", " ", "\n", "3.14", "e.g.,", "!'s"] * 6
+    latin = ["".join(r.choice(parts) for _ in range(r.randrange(60))) for _ in range(4000)] + ["", "word" * 3000, "<| endoftext |>", "<|endoftext"]
+    other = [x + y for x in latin[:300] for y in ("<|endoftext|>", "<|EndOfText|>a", "\u0308", "\u0130", "\u2019s", "\ud7ff")]
+    t = Tokenizer.from_file(WORD)
+    own = WordEncoder(".json", open(WORD, "rb").read())
+    library, own.encode = own.encode, None
+    got = own.ids(latin)
+    own.encode = library
+    got += own.ids(other)
+    for a, b in zip(got, t.encode_batch(latin + other, add_special_tokens=False), strict=True):
+        assert np.frombuffer(a, "<u4").tolist() == b.ids
+
+
 def test_scratch_tables_go_and_kept_ones_stay(spark):
     from pathlib import Path
 

@@ -3,9 +3,11 @@
 An assistant message whose text is a JSON object with ``tool_calls`` makes
 calls: each has ``id``, ``name`` and ``arguments`` (an object, or one written as
 a string). A message whose text is a JSON object with ``tool_call_id`` is a
-result. Any other text is content as it stands. Calls and results are joined by
-conversation and identifier, so no conversation is gathered in one place, and
-every message keeps its own row. Messages without either pass without a join.
+result. A system message whose text is a JSON object with ``tools`` declares the
+tools of its conversation, against which calls are validated. Any other text is
+content as it stands. Calls and results are joined by conversation and identifier,
+so no conversation is gathered in one place, and every message keeps its own row.
+Messages without either pass without a join.
 """
 
 from __future__ import annotations
@@ -13,7 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Parameters of known tools; names are matched exactly. kind: string, integer, number, boolean, object, array.
+#: Parameters of known tools; names are matched exactly. kind: string, integer, number, boolean,
+#: object, array, null, several of them with commas between, or a null for any.
 SCHEMA = "name string, parameter string, kind string, required boolean"
 _CALLS = "array<struct<id:string,name:string,arguments:string>>"
 #: What variant type names stand for, by kind.
@@ -24,6 +27,7 @@ _KINDS = {
     "boolean": r"^BOOLEAN$",
     "object": r"^OBJECT<",
     "array": r"^ARRAY<",
+    "null": r"^VOID$",
 }
 
 
@@ -44,22 +48,43 @@ def tool_calls(messages: DataFrame) -> DataFrame:
     return each.filter("call.id IS NOT NULL").select("conv_id", "call_turn", "call_text", "call_index", F.col("call.id").alias("call_id"), F.col("call.name").alias("name"), F.col("call.arguments").alias("arguments"))
 
 
+def declared_tools(messages: DataFrame) -> DataFrame:
+    """conv_id and the columns of ``SCHEMA`` of the tools that system messages of ``messages``
+    (conv_id, turn, role, text) declare: JSON objects whose ``tools`` lists tools, each with
+    ``name`` and ``parameters`` or with both in a ``function``. ``parameters`` is a JSON schema
+    (or one written as a string), of which ``properties``, their ``type`` and ``required``
+    count. A conversation has a tool by its first declaration of the name, wherever it stands;
+    entries that are not tools are passed over."""
+    asked = messages.filter((F.col("role") == "system") & F.col("text").contains('"tools"'))
+    each = asked.select("conv_id", "turn", F.xxhash64("text").alias("_text"), F.posexplode(F.try_variant_get(_json_object(F.col("text")), "$.tools", "array<variant>")).alias("_at", "_tool"))
+    part = lambda name: F.coalesce(F.try_variant_get("_tool", f"$.function.{name}", "string"), F.try_variant_get("_tool", f"$.{name}", "string"))
+    named = each.select("conv_id", "turn", "_text", "_at", part("name").alias("name"), F.try_parse_json(part("parameters")).alias("_given")).filter(F.col("name").isNotNull())
+    first = Window.partitionBy("conv_id", "name").orderBy("turn", "_text", "_at")
+    tools = named.withColumn("_n", F.row_number().over(first)).filter("_n = 1")
+    own = F.from_json(F.try_variant_get("_given", "$.properties", "string"), "map<string,string>")
+    required = F.array_compact(F.coalesce(F.from_json(F.try_variant_get("_given", "$.required", "string"), "array<string>"), F.array().cast("array<string>")))
+    tools = tools.select("conv_id", "name", F.coalesce(own, F.create_map().cast("map<string,string>")).alias("_own"), required.alias("_required"))
+    listed = tools.withColumn("parameter", F.explode_outer(F.array_union(F.map_keys("_own"), "_required")))
+    kind = F.try_variant_get(F.try_parse_json(F.try_element_at("_own", F.col("parameter"))), "$.type", "string")
+    return listed.select("conv_id", "name", "parameter", kind.alias("kind"), F.coalesce(F.array_contains("_required", F.col("parameter")), F.lit(False)).alias("required"))
+
+
 def validated(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     """``calls`` with valid: whether the tool is known, its required parameters are
     there, and those given are known and of their kinds. A tool without
-    parameters is listed with a null parameter."""
-    given = F.try_parse_json("arguments")
-    parsed = calls.withColumn("_given", F.when(F.schema_of_variant(given).startswith("OBJECT<"), given))
-    names = F.map_keys(F.from_json(F.col("arguments"), "map<string,string>"))
-    fits = F.lit(False)
-    kind_of = F.schema_of_variant(F.try_variant_get("_given", F.concat(F.lit("$['"), F.regexp_replace("parameter", "'", "\\\\'"), F.lit("']")), "variant"))
+    parameters is listed with a null parameter. ``schemas`` hold for all conversations,
+    or with a conv_id for that one."""
+    # a map, since paths can't name every parameter
+    parsed = calls.withColumn("_given", F.try_variant_get(F.try_parse_json("arguments"), "$", "map<string,variant>")).withColumn("_names", F.map_keys("_given"))
+    fits = F.col("kind").isNull()
+    kind_of = F.schema_of_variant(F.try_element_at("_given", F.col("parameter")))
     for kind, pattern in _KINDS.items():
-        fits = fits | (F.col("kind") == kind) & kind_of.rlike(pattern)
+        fits = fits | F.col("kind").rlike(rf"\b{kind}\b") & kind_of.rlike(pattern)
     there = F.array_contains("_names", F.col("parameter"))
     good = F.col("parameter").isNull() | F.when(there, fits).otherwise(~F.col("required"))
     key = ["conv_id", "call_turn", "call_text", "call_index"]
     checked = (
-        parsed.withColumn("_names", names).join(schemas, "name")
+        parsed.join(schemas, [c for c in ("conv_id", "name") if c in schemas.columns])
         .groupBy(*key)
         .agg(F.bool_and(F.coalesce(good, F.lit(False))).alias("_good"), F.collect_set("parameter").alias("_known"), F.first("_names").alias("_names"))
         .select(*key, (F.col("_good") & F.col("_names").isNotNull() & (F.size(F.array_except("_names", "_known")) == 0)).alias("valid"))
@@ -78,8 +103,9 @@ def chat_messages(messages: DataFrame, schemas: DataFrame | None = None) -> Data
     (order_turn, order_rank, turn) is a topological order within a conversation:
     turns in order, but a result that stands before its call moves to right after
     it, in the order of the calls. n_calls and n_invalid count an assistant
-    message's calls and those whose arguments break their tool's schema (nothing
-    is known of any tool without ``schemas``: all count as invalid). linked says
+    message's calls and those whose arguments break their tool's schema; without
+    ``schemas`` a conversation's tools are those that its system messages declare
+    (``declared_tools``), and calls of other tools are invalid. linked says
     of a result whether its call exists, and is null for other messages; of
     calls that share an identifier the first is meant. Messages of one turn have
     their own calls each, and repeated rows the same. message is JSON with
@@ -90,9 +116,8 @@ def chat_messages(messages: DataFrame, schemas: DataFrame | None = None) -> Data
     nothing; repeated rows each keep a row; other columns are ignored; an empty
     table gives an empty result.
     """
-    spark = messages.sparkSession
-    schemas = schemas if schemas is not None else spark.createDataFrame([], SCHEMA)
     base = messages.select("conv_id", "turn", F.coalesce("role", F.lit("user")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    schemas = declared_tools(base) if schemas is None else schemas
     plain = F.to_json(F.struct(F.col("text").alias("content"), "role"))
     # most messages neither call nor answer a tool; they need no join
     special = F.col("text").contains('"tool_call')

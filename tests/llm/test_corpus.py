@@ -526,6 +526,50 @@ def test_chat_with_repeated_turns_against_brute_force(spark):
     assert sum(w[5] > 0 for w in want) > 200 and sum(w[7] == "True" for w in want) > 150
 
 
+def test_chat_query_validates_by_the_tools_that_conversations_declare(spark, tmp_path):
+    """In the query, each of linking, ordering and validating changes rows of a table with calls."""
+    from reelspan.llm import queries
+
+    def tool(name, properties, required=(), flat=False):
+        own = {"name": name, "parameters": {"type": "object", "properties": properties, "required": list(required)}}
+        return own if flat else {"type": "function", "function": own}
+
+    def system(conv, turn, *tools):
+        return (conv, turn, "system", json.dumps({"tools": tools}))
+
+    def call(conv, turn, name, *arguments):
+        return (conv, turn, "assistant", json.dumps({"tool_calls": [{"id": f"c{turn}-{k}", "name": name, "arguments": a} for k, a in enumerate(arguments)]}))
+
+    add = tool("add", {"a": {"type": "integer"}, "b": {"type": ["number", "null"]}, "c": {}, "it's": {"type": "array"}}, ["a"])
+    calls = {
+        # valid, valid, no a, a of another kind, an unknown parameter, null for one of two kinds, anything for none, of a quoted name, as a string, not an object
+        (1, 2): (call(1, 2, "add", {"a": 1}, {"a": 1, "b": 0.5}, {"b": 1}, {"a": "1"}, {"a": 1, "z": 1}, {"a": 1, "b": None}, {"a": 1, "c": {"x": []}}, {"a": 1, "it's": [1]}, '{"a":1}', "[1]"), 4),
+        (1, 3): (call(1, 3, "flat", {"q": "x"}, {"q": 1}, {}), 1),
+        (1, 4): (call(1, 4, "bare", {}, {"q": 1}), 1),
+        (1, 5): (call(1, 5, "need", {}, {"z": 1}), 1),
+        (1, 6): (call(1, 6, "elsewhere", {}), 1),
+        # another conversation's tool of that name has other parameters; the first declaration holds
+        (2, 2): (call(2, 2, "add", {"a": 1}, {"a": "1"}, {"a": "1"}), 1),
+        (3, 2): (call(3, 2, "add", {"a": 1}), 1),
+        (4, 2): (call(4, 2, "add", {"a": 1}), 1),
+    }
+    rows = [r for r, _ in calls.values()] + [
+        system(1, 0, add, 5, "x", {"parameters": {}}, tool("flat", {"q": {"type": "string"}}, flat=True), {"name": "bare"}, {"name": "need", "parameters": {"required": ["z"]}}),
+        system(2, 7, tool("add", {"a": {"type": "integer"}})), system(2, 1, tool("add", {"a": {"type": "string"}})),
+        system(2, 8, tool("elsewhere", {})), (3, 0, "user", system(3, 0, add)[3]), (4, 0, "system", '{"tools": 5}'), (4, 1, "system", 'not "tools"'),
+        system(None, 0, add), (None, 1, None, None), (1, 1, "tool", '{"tool_call_id":"c2-1","content":"early"}'), (1, 9, "tool", '{"tool_call_id":"c2-0"}'), (2, 9, "tool", '{"tool_call_id":"c9-9"}'),
+    ]
+    rows += [x for x in rows if x[2] == "system"]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3).write.parquet(f"{tmp_path}/conversations.parquet")
+    out = queries.op10_chat_formatting(spark, str(tmp_path)).collect()
+    assert len(out) == len(rows)
+    got = {(r["conv_id"], r["turn"]): r for r in out}
+    assert {k: (r["n_calls"], r["n_invalid"]) for k, r in got.items() if r["n_calls"]} == {k: (len(json.loads(r[3])["tool_calls"]), bad) for k, (r, bad) in calls.items()}
+    assert (got[1, 1]["order_turn"], got[1, 1]["order_rank"], got[1, 1]["linked"]) == (2, 2, True)
+    assert got[1, 9]["linked"] and json.loads(got[1, 9]["message"])["name"] == "add" and got[2, 9]["linked"] is False
+    assert got[1, 0]["message"] == json.dumps({"content": next(r[3] for r in rows if r[:2] == (1, 0)), "role": "system"}, separators=(",", ":"))
+
+
 def awkward_strings(n, seed):
     """Random strings of letters of several scripts, marks, signs, digits and spaces of all kinds."""
     r, parts = random.Random(seed), ["a", "B", "the", "don't", "I'LL", "\u00e9", "e\u0301", "\u0130", "\u1e9e", "\u03a3", "\u4e2d", "\u0e01\u0e33", "\U0001f600", "12", "3.14", "...", ",", ".,", "-", "_", "\u2019", "\x00", "\u200d", " ", "  ", "\t", "\n", "\r\n", "\u00a0", "\u2028", "\u3000", "<|endoftext|>", "[UNK]", "</s>", "ing", "Token"]
